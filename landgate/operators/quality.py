@@ -150,52 +150,49 @@ def quality_metrics(
 
 
 def profile(df: DataFrame, fields: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
-    """One row: ``valid`` plus one count per field and per rule. Feeds the two reports below."""
+    """One row: ``valid`` plus one count per field and per rule, for the two arrays below."""
     return df.agg(F.count(F.lit(1)).alias("valid"), *quality_metrics(fields, rules))
 
 
-def null_report(profiled: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(field, nulls, pct) from a one-row profile."""
-    entries = [
-        F.struct(
-            F.lit(f).alias("field"),
-            F.col(_null_name(i)).alias("nulls"),
-            percent(F.col(_null_name(i)), F.col("valid")).alias("pct"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    return profiled.select(F.inline(F.array(*entries)))
-
-
-def rule_report(profiled: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(rule, violations, message) from a one-row profile, kept rules left out."""
-    entries = [
-        F.struct(
-            F.lit(r.name).alias("rule"),
-            F.col(_rule_name(i)).alias("violations"),
-            F.concat_ws(" ", F.col(_rule_name(i)).cast("string"), F.lit(r.message)).alias(
-                "message"
-            ),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return profiled.select(F.inline(F.array(*entries))).filter(F.col("violations") > 0)
+def null_entries(fields: Sequence[str]) -> Column:
+    """Array of (field, nulls, pct) over a one-row profile."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("field"),
+                F.col(_null_name(i)).alias("nulls"),
+                percent(F.col(_null_name(i)), F.col("valid")).alias("pct"),
+            )
+            for i, f in enumerate(fields)
+        ]
+    ).cast("array<struct<field: string, nulls: bigint, pct: double>>")
+
+
+def violation_entries(rules: Sequence[Rule]) -> Column:
+    """Array of (rule, violations, message) over a one-row profile, kept rules left out."""
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(r.name).alias("rule"),
+                F.col(_rule_name(i)).alias("violations"),
+                F.concat_ws(" ", F.col(_rule_name(i)).cast("string"), F.lit(r.message)).alias(
+                    "message"
+                ),
+            )
+            for i, r in enumerate(rules)
+        ]
+    ).cast("array<struct<rule: string, violations: bigint, message: string>>")
+    return F.filter(entries, lambda e: e["violations"] > 0)
 
 
 def null_stats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Null count and percentage per field, all fields in one pass."""
-    return null_report(profile(df, fields, ()), fields)
+    return profile(df, fields, ()).select(F.inline(null_entries(fields)))
 
 
 def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Violated rules with their counts, all rules in one pass."""
-    return rule_report(profile(df, (), rules), rules)
-
-
-def violated_rules(rules: Sequence[Rule]) -> Column:
-    """Number of rules with at least one violation, over a one-row profile."""
-    flags = [(F.col(_rule_name(i)) > 0).cast("int") for i in range(len(rules))]
-    return sum(flags, F.lit(0))
+    return profile(df, (), rules).select(F.inline(violation_entries(rules)))
 
 
 def verdict(invalid: Column, violations: Column) -> Column:
