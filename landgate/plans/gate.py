@@ -125,11 +125,17 @@ def summarize(
 
 
 def run_gate(spark: SparkSession, cfg: GateConfig) -> GateReport:
-    """Run the whole gate over one landed source, reading it once.
+    """Run the whole gate over one landed source, reading it once."""
+    parsed = read_json(spark, cfg.source, cfg.schema, cfg.multiline, cfg.granularity)
+    return gate_records(parsed, cfg)
+
+
+def gate_records(parsed: DataFrame, cfg: GateConfig) -> GateReport:
+    """The gate over records that are parsed already.
 
     Tables are written only for a side that has records; a failed write raises.
     """
-    parsed = read_json(spark, cfg.source, cfg.schema, cfg.multiline, cfg.granularity)
+    spark = parsed.sparkSession
     path = workspace(spark, "gate", root=cfg.table_root)
     staged, metrics = stage(parsed, path, cfg.key_fields, cfg.rules)
     valid, invalid = staged_sides(staged)
