@@ -46,15 +46,11 @@ def _trade_gate(spark, sf, **more):
 
 
 def gate_counts(spark, sf):
-    return _rounded(Q.validation_counts(_trades(spark, sf)), "valid_pct", "invalid_pct")
-
-
-def _rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return Q.validation_counts(_trades(spark, sf))
 
 
 def gate_null_stats(spark, sf):
-    return _rounded(Q.null_stats(_valid_trades(spark, sf), TRADE_KEYS), "pct")
+    return Q.null_stats(_valid_trades(spark, sf), TRADE_KEYS)
 
 
 def gate_rules(spark, sf):
@@ -124,7 +120,7 @@ def _bills(spark, sf):
 
 def billing_null_stats(spark, sf):
     valid, _ = Q.split_valid(_bills(spark, sf))
-    return _rounded(Q.null_stats(valid, BILLING_KEY_FIELDS), "pct")
+    return Q.null_stats(valid, BILLING_KEY_FIELDS)
 
 
 def billing_rules(spark, sf):
@@ -150,8 +146,8 @@ GOOD_TRADES = f"{TRADES_JUDGED}, good AS (SELECT * FROM judged WHERE good)"
 def _null_stats_sql(source: str, keys) -> str:
     parts = [
         f"""SELECT '{c}' AS field, count(*) FILTER (json_extract_string(raw, '$.{c}') IS NULL) AS nulls,
-            round(100.0 * CAST(count(*) FILTER (json_extract_string(raw, '$.{c}') IS NULL) AS DOUBLE)
-              / count(*), 6) AS pct FROM good"""
+            100.0 * CAST(count(*) FILTER (json_extract_string(raw, '$.{c}') IS NULL) AS DOUBLE)
+              / count(*) AS pct FROM good"""
         for c in keys
     ]
     return f"{source}, good AS (SELECT * FROM judged WHERE good) " + " UNION ALL ".join(parts)
@@ -175,8 +171,8 @@ QUERIES = {
         TRADES_JUDGED
         + """SELECT count(*) AS total, count(*) FILTER (good) AS valid,
             count(*) FILTER (NOT good) AS invalid,
-            round(100.0 * CAST(count(*) FILTER (good) AS DOUBLE) / count(*), 6) AS valid_pct,
-            round(100.0 * CAST(count(*) FILTER (NOT good) AS DOUBLE) / count(*), 6) AS invalid_pct
+            100.0 * CAST(count(*) FILTER (good) AS DOUBLE) / count(*) AS valid_pct,
+            100.0 * CAST(count(*) FILTER (NOT good) AS DOUBLE) / count(*) AS invalid_pct
             FROM judged""",
     ),
     "gate_null_stats": (gate_null_stats, _null_stats_sql(TRADES_JUDGED, TRADE_KEYS)),
@@ -216,7 +212,7 @@ QUERIES = {
               count(*) FILTER (NOT good) AS invalid,
               CAST(count(*) FILTER (good AND json_extract_string(safe, '$.trade_date') IS NULL) > 0 AS BIGINT)
               + CAST(count(*) FILTER (good AND json_extract_string(safe, '$.record_id') LIKE 'T%') > 0 AS BIGINT)
-              + CAST(count(*) FILTER (good AND CAST(json_extract_string(safe, '$.quantity') AS DOUBLE) > 1000) > 0 AS BIGINT)
+              + CAST(count(*) FILTER (good AND TRY_CAST(json_extract_string(safe, '$.quantity') AS DOUBLE) > 1000) > 0 AS BIGINT)
               AS violated_rules
             FROM judged)
           SELECT *, CASE WHEN invalid = 0 AND violated_rules = 0 THEN 'PASSED'

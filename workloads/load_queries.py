@@ -97,7 +97,7 @@ def audit(spark, sf):
     append_table(report.audit, audit_table, workspace(spark, "audit"))
     return spark.table(audit_table).select(
         "total", "valid", "invalid", "inserted",
-        F.round("valid_pct", 6).alias("valid_pct"), F.round("invalid_pct", 6).alias("invalid_pct"),
+        "valid_pct", "invalid_pct",
     )
 
 
@@ -189,8 +189,8 @@ QUERIES = {
         TRADES_JUDGED
         + """SELECT count(*) AS total, count(*) FILTER (good) AS valid,
             count(*) FILTER (NOT good) AS invalid, count(*) FILTER (good) AS inserted,
-            round(100.0 * CAST(count(*) FILTER (good) AS DOUBLE) / count(*), 6) AS valid_pct,
-            round(100.0 * CAST(count(*) FILTER (NOT good) AS DOUBLE) / count(*), 6) AS invalid_pct
+            100.0 * CAST(count(*) FILTER (good) AS DOUBLE) / count(*) AS valid_pct,
+            100.0 * CAST(count(*) FILTER (NOT good) AS DOUBLE) / count(*) AS invalid_pct
             FROM judged""",
     ),
     "declared_insert": (

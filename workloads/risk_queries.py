@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landgate.operators import risk as R
 from landgate.operators.quality import check_rules, within
+from workloads.rounding import AVG_METRIC, stable
 from workloads.risk_rows import METRIC, risk_rows, risk_sql
 
 CURRENT = "effective_end_date = DATE '9999-12-31'"
@@ -16,31 +17,26 @@ ALL = (
 )
 
 
-def _rounded(df, *columns):
-    # Averages are summed in a different order by each engine.
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
 def count_by_type(spark, sf):
     return R.count_by(risk_rows(spark, sf), "identifier_type")
 
 
 def avg_by_class_scenario(spark, sf):
-    return _rounded(
+    return stable(
         R.avg_by(risk_rows(spark, sf), ["asset_class", "scenario_name"], METRIC), "avg_risk"
     )
 
 
 def exposure_by_region(spark, sf):
-    return _rounded(R.exposure_by(risk_rows(spark, sf), "region", METRIC), "avg_risk")
+    return stable(R.exposure_by(risk_rows(spark, sf), "region", METRIC), "avg_risk")
 
 
 def metric_breakdown(spark, sf):
-    return _rounded(R.metric_breakdown(risk_rows(spark, sf)), "avg_risk")
+    return stable(R.metric_breakdown(risk_rows(spark, sf)), "avg_risk")
 
 
 def proxied_split(spark, sf):
-    return _rounded(R.proxied_split(risk_rows(spark, sf)), "avg_risk", "share_pct")
+    return stable(R.proxied_split(risk_rows(spark, sf)), "avg_risk")
 
 
 def lookup_batch(spark, sf):
@@ -136,13 +132,13 @@ QUERIES = {
     ),
     "avg_by_class_scenario": (
         avg_by_class_scenario,
-        risk_sql(f"""SELECT asset_class, scenario_name, round(avg(metric_value), 6) AS avg_risk,
+        risk_sql(f"""SELECT asset_class, scenario_name, {AVG_METRIC} AS avg_risk,
             count(*) AS record_count, count(DISTINCT identifier) AS instrument_count
             FROM risk WHERE {CURRENT} AND metric_name_internal = '{METRIC}' GROUP BY 1, 2"""),
     ),
     "exposure_by_region": (
         exposure_by_region,
-        risk_sql(f"""SELECT region, round(avg(metric_value), 6) AS avg_risk,
+        risk_sql(f"""SELECT region, {AVG_METRIC} AS avg_risk,
             count(*) AS record_count, count(DISTINCT identifier) AS instrument_count
             FROM risk WHERE {CURRENT} AND metric_name_internal = '{METRIC}' GROUP BY 1"""),
     ),
@@ -150,15 +146,15 @@ QUERIES = {
         metric_breakdown,
         risk_sql(f"""SELECT metric_name, count(*) AS record_count,
             count(DISTINCT identifier) AS instrument_count,
-            round(avg(metric_value), 6) AS avg_risk, max(metric_value) AS max_risk
+            {AVG_METRIC} AS avg_risk, max(metric_value) AS max_risk
             FROM risk WHERE {CURRENT} GROUP BY 1"""),
     ),
     "proxied_split": (
         proxied_split,
-        risk_sql(f"""SELECT is_proxied, round(avg(metric_value), 6) AS avg_risk,
+        risk_sql(f"""SELECT is_proxied, {AVG_METRIC} AS avg_risk,
             count(*) AS record_count, count(DISTINCT identifier) AS instrument_count,
-            round(100.0 * CAST(count(*) AS DOUBLE)
-              / (SELECT count(*) FROM risk WHERE {CURRENT}), 6) AS share_pct
+            100.0 * CAST(count(*) AS DOUBLE)
+              / (SELECT count(*) FROM risk WHERE {CURRENT}) AS share_pct
             FROM risk WHERE {CURRENT} GROUP BY 1"""),
     ),
     "lookup_batch": (

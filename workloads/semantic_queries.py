@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landgate.plans.semantic import FACT, Item, SemanticModel, profile_columns, query
 from workloads.risk_rows import risk_rows, risk_sql
+from workloads.rounding import AVG_METRIC, stable
 
 MODEL = (
     SemanticModel(
@@ -40,14 +41,14 @@ def semantic_metrics(spark, sf):
         MODEL, risk_rows(spark, sf), ["identifier_type", "start_year"],
         metrics=["avg_metric_value", "total_record_count", "instrument_count"], where=CURRENT,
     )
-    return answer.withColumn("avg_metric_value", F.round("avg_metric_value", 6))
+    return stable(answer, "avg_metric_value")
 
 
 def semantic_totals(spark, sf):
     answer = query(
         MODEL, risk_rows(spark, sf), [], metrics=["avg_metric_value", "total_record_count"]
     )
-    return answer.withColumn("avg_metric_value", F.round("avg_metric_value", 6))
+    return stable(answer, "avg_metric_value")
 
 
 def draft_model(spark, sf):
@@ -90,13 +91,13 @@ QUERIES = {
     "semantic_metrics": (
         semantic_metrics,
         risk_sql(f"""SELECT identifier_type, CAST(year(effective_start_date) AS INTEGER) AS start_year,
-            round(avg(metric_value), 6) AS avg_metric_value, count(*) AS total_record_count,
+            {AVG_METRIC} AS avg_metric_value, count(*) AS total_record_count,
             count(DISTINCT identifier) AS instrument_count
             FROM risk WHERE {CURRENT.replace("DATE'", "DATE '")} GROUP BY 1, 2"""),
     ),
     "semantic_totals": (
         semantic_totals,
-        risk_sql("""SELECT round(avg(metric_value), 6) AS avg_metric_value,
+        risk_sql(f"""SELECT {AVG_METRIC} AS avg_metric_value,
             count(*) AS total_record_count FROM risk"""),
     ),
     "semantic_dimensions": (

@@ -9,6 +9,7 @@ from landgate.functions.variant import json_fields, response_problems
 from landgate.sources.landing import land
 from landgate.sources.text_lines import read_lines
 from landgate.workspace import workspace
+from workloads.rounding import stable, stable_sql
 
 
 def _table(spark, sf, name):
@@ -20,7 +21,7 @@ def filter_gt(spark, sf):
 
 
 def avg_global(spark, sf):
-    return _table(spark, sf, "customer").groupBy().agg(F.round(F.avg("c_acctbal"), 4).alias("avg_bal"))
+    return stable(_table(spark, sf, "customer").groupBy().agg(F.avg("c_acctbal").alias("avg_bal")), "avg_bal")
 
 
 def union_count(spark, sf):
@@ -106,7 +107,7 @@ def landing_list(spark, sf):
 
 QUERIES = {
     "filter_gt": (filter_gt, "SELECT * FROM customer WHERE c_acctbal > 28"),
-    "avg_global": (avg_global, "SELECT round(avg(c_acctbal), 4) AS avg_bal FROM customer"),
+    "avg_global": (avg_global, f"SELECT {stable_sql('avg(c_acctbal)')} AS avg_bal FROM customer"),
     "union_count": (
         union_count,
         """SELECT 'landgate' AS platform, 1 + 1 AS simple_calc, count(*) AS row_count FROM (
