@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def chunk_text(df: DataFrame, column: str, size: int = 4000) -> DataFrame:
     """One row per ``size`` characters: ``chunk_no`` from 1 and ``chunk``; other columns repeat.
 
-    An empty text is one empty chunk; a NULL text gives none.
+    An empty text is one empty chunk, a NULL text one NULL chunk.
     """
     if size < 1:
         raise ValueError("size must be positive")

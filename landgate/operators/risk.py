@@ -44,11 +44,20 @@ def as_of(df: DataFrame, date: str) -> DataFrame:
 
 
 def history(df: DataFrame, identifier: str) -> DataFrame:
-    """Version history of one instrument, oldest first."""
+    """Version history of one instrument, oldest first.
+
+    Dates and version repeat a lot; the further sort keys let the rows of one date be spread over
+    several tasks of the range-partitioned sort.
+    """
+    shown = ("effective_start_date", "effective_end_date", "version")
+    further = (
+        "scenario_name", "scenario_year", "scenario_percentile", "metric_name_internal",
+        "metric_value",
+    )
     return (
         df.filter(F.col("identifier") == identifier)
-        .select("identifier", "effective_start_date", "effective_end_date", "version")
-        .orderBy("effective_start_date", "effective_end_date", "version")
+        .orderBy(*shown, *further)
+        .select("identifier", *shown)
     )
 
 

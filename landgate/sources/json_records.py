@@ -62,18 +62,23 @@ def _keep_all_columns_parsed(scan: DataFrame, corrupt: str) -> DataFrame:
     return scan.withColumn(corrupt, F.when(nulls >= 0, F.col(corrupt)))
 
 
-def _parse(text: Column, schema: T.StructType, corrupt: str) -> Column:
+def _judge(texts: DataFrame, column: str, schema: T.StructType, corrupt: str) -> DataFrame:
+    """Parse one record per text. JSON null is no record and comes back rejected."""
     # With options given, the optimizer leaves the parsed schema whole.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    return F.from_json(text, schema, options)
+    parsed = F.from_json(F.col(column), schema, options)
+    # inline() is a border for the optimizer: a filter on the verdict stays above it, where pushing
+    # it below a plain select would parse every record once to filter and again to read.
+    rows = texts.select(F.col(column).alias("_text"), F.inline(F.array(parsed)))
+    rejected = F.when(F.trim("_text") == "null", F.col("_text")).otherwise(F.col(corrupt))
+    return rows.withColumn(corrupt, rejected).drop("_text")
 
 
 def parse_records(
     df: DataFrame, column: str, schema: T.StructType, corrupt: str = CORRUPT
 ) -> DataFrame:
     """Parse a text column holding one JSON record per row; blank text yields no record."""
-    rows = df.filter(F.trim(column) != "")
-    return rows.select(_parse(F.col(column), schema, corrupt).alias("_r")).select("_r.*")
+    return _judge(df.filter(F.trim(column) != ""), column, schema, corrupt)
 
 
 def parse_documents(
@@ -81,8 +86,7 @@ def parse_documents(
 ) -> DataFrame:
     """Parse a text column holding JSON documents, judging each record of an array by itself.
 
-    A document that is no readable array or record is rejected whole. JSON null is no record and
-    comes back rejected.
+    A document that is no readable array or record is rejected whole.
     """
     text = F.col(column)
     elements = F.transform(
@@ -93,18 +97,7 @@ def parse_documents(
         .when(text.rlike(r"^\s*\["), F.coalesce(elements, F.array(text)))
         .otherwise(F.array(text))
     )
-    # A null record parses to NULL: its text is its verdict.
-    parsed = df.select(F.explode(records).alias("_t")).select(
-        "_t", _parse(F.col("_t"), schema, corrupt).alias("_r")
-    )
-    return parsed.select(
-        *[
-            F.when(F.col("_r").isNull(), F.col("_t")).otherwise(F.col(f"_r.`{c}`")).alias(c)
-            if c == corrupt
-            else F.col(f"_r.`{c}`")
-            for c in schema.names
-        ]
-    )
+    return _judge(df.select(F.explode(records).alias("_record")), "_record", schema, corrupt)
 
 
 # --- large documents ------------------------------------------------------------------------
