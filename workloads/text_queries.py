@@ -105,6 +105,11 @@ def landing_list(spark, sf):
     return _land_texts(spark, sf)[1]
 
 
+def landing_bytes(spark, sf):
+    manifest = landing_list(spark, sf)
+    return manifest.agg(F.sum("length").alias("bytes"), F.count_if(F.col("length") == 0).alias("empty"))
+
+
 QUERIES = {
     "filter_gt": (filter_gt, "SELECT * FROM customer WHERE c_acctbal > 28"),
     "avg_global": (avg_global, f"SELECT {stable_sql('avg(c_acctbal)')} AS avg_bal FROM customer"),
@@ -160,4 +165,9 @@ QUERIES = {
             CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines FROM documents""",
     ),
     "landing_list": (landing_list, None),
+    "landing_bytes": (
+        landing_bytes,
+        """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes,
+            count(*) FILTER (text IS NULL) AS empty FROM documents""",
+    ),
 }
