@@ -7,6 +7,8 @@ value over the file in two levels: inside a split, then over the short list of s
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,15 +21,21 @@ BLOCK = ("file", "block")
 
 
 def read_pieces(
-    spark: SparkSession, path: str, separator: str, larger_than: int
+    spark: SparkSession,
+    path: str,
+    separator: str,
+    larger_than: int,
+    measures: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """(file, block, id, file_size, value): the pieces between separators; ``id`` counts up inside a block.
+    """(file, block, id, file_size, value, *measures): the pieces between separators, in order.
 
-    Ids depend on how the scan was planned, so they are written out once and read back by every
+    ``id`` counts up inside a block; ``measures`` are long values computed from ``value``. Ids
+    depend on how the scan was planned, so all of this is written out once and read back by every
     later pass, on whichever executors those run.
     """
+    measures = measures or {}
     stored = workspace(spark, "pieces")
-    (
+    pieces = (
         spark.read.option("lineSep", separator)
         .text(path)
         .filter(F.col("_metadata.file_size") > larger_than)
@@ -38,9 +46,13 @@ def read_pieces(
             F.col("_metadata.file_size").alias("file_size"),
             "value",
         )
-        .write.parquet(stored)
     )
+    for name, measure in measures.items():
+        pieces = pieces.withColumn(name, measure.cast("bigint"))
+    pieces.write.parquet(stored)
     columns = "file string, block bigint, id bigint, file_size bigint, value string"
+    for name in measures:
+        columns += f", {name} bigint"
     return spark.read.schema(columns).parquet(stored)
 
 

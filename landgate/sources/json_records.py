@@ -107,28 +107,31 @@ def parse_documents(
 # first relative to its block, then from the totals of the earlier blocks.
 
 
-def _brackets_outside_strings(text: Column) -> Column:
-    rest = F.regexp_replace(text, r'"[^"]*("|\z)', "")
-    opened = F.length(rest) - F.length(F.translate(rest, "{[", ""))
-    closed = F.length(rest) - F.length(F.translate(rest, "}]", ""))
-    return opened - closed
-
-
-def _scan_piece(pieces: DataFrame) -> DataFrame:
-    """Quote parity of a piece, and its depth change for both possible starts."""
-    bare = F.regexp_replace("value", r"(?s)\\.", "")
-    quotes = F.length(bare) - F.length(F.translate(bare, '"', ""))
-    return (
-        pieces.withColumn("_bare", bare)
-        .withColumn("odd", quotes % 2)
-        # The "}" that ended the piece counts unless it stands inside a string.
-        .withColumn("outer", _brackets_outside_strings(F.col("_bare")) + F.col("odd") - 1)
-        .withColumn(
-            "inner",
-            _brackets_outside_strings(F.concat(F.lit('"'), F.col("_bare"))) - F.col("odd"),
-        )
-        .drop("_bare")
-    )
+def _occurrences(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def _depth_change(texts: Column) -> Column:
+    """Opening minus closing brackets in an array of texts that hold no "}"."""
+    text = F.concat_ws("", texts)
+    return _occurrences(text, "{") + _occurrences(text, "[") - _occurrences(text, "]")
+
+
+def _piece_measures() -> dict[str, Column]:
+    """Quote parity of a piece, and its depth change if it starts outside or inside a string."""
+    value = F.col("value")
+    bare = F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
+    # Texts between quotes are in turn outside and inside of strings, or the other way round.
+    between = F.split(bare, '"')
+    odd = (F.size(between) - 1) % 2
+    every_other = F.filter(between, lambda _, i: i % 2 == 0)
+    the_others = F.filter(between, lambda _, i: i % 2 == 1)
+    # The "}" that ended the piece counts unless it stands inside a string.
+    return {
+        "odd": odd,
+        "outer": _depth_change(every_other) + odd - 1,
+        "inner": _depth_change(the_others) - odd,
+    }
 
 
 def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
@@ -137,7 +140,7 @@ def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
     A file whose brackets do not balance is not a readable document. It yields one text naming the
     file, which no parser accepts, so the file is rejected whole as a small one would be.
     """
-    pieces = _scan_piece(read_pieces(spark, path, "}", limit))
+    pieces = read_pieces(spark, path, "}", limit, _piece_measures())
     # Running values inside one block, which is at most one input split.
     running = "OVER (PARTITION BY file, block ORDER BY id)"
 
