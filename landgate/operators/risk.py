@@ -56,7 +56,7 @@ def history(df: DataFrame, identifier: str) -> DataFrame:
     )
     return (
         df.filter(F.col("identifier") == identifier)
-        .orderBy(*shown, *further)
+        .orderBy(*shown, *[c for c in further if c in df.columns])
         .select("identifier", *shown)
     )
 
@@ -90,7 +90,7 @@ def lookup(
     """
     rows = _scope(df, history).filter(F.col("identifier_type") == id_type)
     if not isinstance(ids, DataFrame):
-        wanted = sorted(set(ids))
+        wanted = sorted({i for i in ids if i is not None})
         if len(wanted) <= MAX_IN_LIST:
             return rows.filter(F.col("identifier").isin(wanted))
         keys = df.sparkSession.createDataFrame([(i,) for i in wanted], "_id string")

@@ -23,10 +23,10 @@ def largest_file(spark: SparkSession, path: str) -> int:
 def land(
     df: DataFrame, path: str, fmt: str, overwrite: bool = True, compression: str = "none"
 ) -> DataFrame:
-    """Write ``df`` as landed files and return their manifest.
+    """Write ``df`` as landed files; returns their listing, each with its status.
 
     An existing landing is replaced, or kept and reported as an error.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     df.write.format(fmt).mode(mode).option("compression", compression).save(path)
-    return list_landing(df.sparkSession, path)
+    return list_landing(df.sparkSession, path).withColumn("status", F.lit("LANDED"))

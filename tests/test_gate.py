@@ -69,9 +69,11 @@ def test_numeric_text(spark, text, numeric):
     assert Q.check_rules(df, [Q.numeric_text("cost")]).count() == (0 if numeric else 1)
 
 
-def test_empty_source(spark, folder):
+@pytest.mark.parametrize("files", [0, 1])
+def test_empty_source(spark, folder, files):
     tables = {"valid_table": name("v"), "invalid_table": name("i")}
-    open(f"{folder}/empty.json", "w").close()
+    for i in range(files):
+        open(f"{folder}/{i}.json", "w").close()
     for multiline in (True, False):
         report = run_gate(spark, GateConfig(folder, multiline=multiline, **tables))
         assert (report.total, report.valid_count, report.invalid_count) == (0, 0, 0)

@@ -98,6 +98,12 @@ def test_empty_load(spark, folder):
     assert spark.table(cfg.table).count() == 0
 
 
+def test_load_of_an_empty_folder(spark, folder):
+    os.makedirs(f"{folder}/in")
+    report = run_load(spark, LoadConfig(f"{folder}/in", name("trades"), table_path=f"{folder}/t"))
+    assert (report.total, report.valid_count, report.inserted) == (0, 0, 0)
+
+
 def test_all_null_struct_and_absent_struct(spark):
     df = spark.createDataFrame([(1, (None,)), (2, None)], "id int, s struct<a: int>")
     got = dict(to_variant(df, "s").select("id", F.to_json("s")).collect())

@@ -70,6 +70,7 @@ def test_lookup(risk, spark):
     assert R.lookup(risk, "ISIN", ids, history=True).count() == 6
     assert R.lookup(risk, "CUSIP", ids).count() == 0
     assert R.lookup(risk, "ISIN", []).count() == 0
+    assert R.lookup(risk, "ISIN", [None, *ids]).count() == 5
     many = ids + [f"none{i}" for i in range(R.MAX_IN_LIST)]
     assert R.lookup(risk, "ISIN", many).count() == 5
     table = spark.createDataFrame([(i,) for i in ids + ids], "id string")

@@ -211,8 +211,8 @@ def test_landing_round_trip(spark, folder):
     path = f"{folder}/landed"
     df = spark.range(10).select(F.col("id").cast("string").alias("value"))
     manifest = land(df.coalesce(1), path, "text")
-    assert manifest.columns == ["path", "length", "modified"]
-    assert [r.length for r in manifest.collect()] == [20]
+    assert manifest.columns == ["path", "length", "modified", "status"]
+    assert [(r.length, r.status) for r in manifest.collect()] == [(20, "LANDED")]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         land(df, path, "text", overwrite=False)
     land(df.coalesce(2), path, "text")

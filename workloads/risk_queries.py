@@ -250,14 +250,14 @@ QUERIES = {
     ),
     "top_risk": (
         top_risk,
-        risk_sql(f"""SELECT * FROM (SELECT {ALL}, row_number() OVER (PARTITION BY asset_class
-            ORDER BY metric_value DESC, identifier, metric_name, k) AS risk_rank
+        risk_sql(f"""SELECT * FROM (SELECT {ALL}, CAST(row_number() OVER (PARTITION BY asset_class
+            ORDER BY metric_value DESC, identifier, metric_name, k) AS INTEGER) AS risk_rank
             FROM risk WHERE {CURRENT}) WHERE risk_rank <= 5"""),
     ),
     "top_risk_by_region": (
         top_risk_by_region,
-        risk_sql(f"""SELECT * FROM (SELECT {ALL}, row_number() OVER (PARTITION BY region
-            ORDER BY metric_value DESC, identifier, metric_name, k) AS risk_rank
+        risk_sql(f"""SELECT * FROM (SELECT {ALL}, CAST(row_number() OVER (PARTITION BY region
+            ORDER BY metric_value DESC, identifier, metric_name, k) AS INTEGER) AS risk_rank
             FROM risk WHERE {CURRENT}) WHERE risk_rank <= 3"""),
     ),
     "score_range": (
