@@ -81,13 +81,10 @@ def clustered(
     """Range-partition and sort by ``by``, so that files cover narrow value ranges when written.
 
     Rows equal in all of ``by`` would land in one task, and open versions share most of those
-    values. ``spread`` names further columns that tell such rows apart: their hash is the last
-    range key, so even a group holding most of the table is cut into many ranges.
+    values. ``spread`` names further columns that tell such rows apart; as trailing range keys they
+    cut a group, even one holding most of the table, into many ranges. Columns that lookups ask
+    for, the identifier first, serve best.
     """
-    keys = [F.col(c) for c in by]
-    if spread:
-        keys.append(F.xxhash64(*spread))
-    ranges = df.repartitionByRange(*keys) if partitions is None else df.repartitionByRange(
-        partitions, *keys
-    )
-    return ranges.sortWithinPartitions(*keys)
+    keys = [*by, *spread]
+    count = () if partitions is None else (partitions,)
+    return df.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)
