@@ -7,8 +7,6 @@ value over the file in two levels: inside a split, then over the short list of s
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +19,14 @@ BLOCK = ("file", "block")
 
 
 def read_pieces(
-    spark: SparkSession,
-    path: str,
-    separator: str,
-    larger_than: int,
-    measures: Mapping[str, Column] | None = None,
+    spark: SparkSession, path: str, separator: str, larger_than: int
 ) -> DataFrame:
-    """(file, block, id, file_size, value, *measures): the pieces between separators, in order.
+    """(file, block, id, file_size, value): the pieces between separators.
 
-    ``id`` counts up inside a block; ``measures`` are long values computed from ``value``. Ids
-    depend on how the scan was planned, so all of this is written out once and read back by every
-    later pass, on whichever executors those run.
+    ``id`` counts up inside a block without gaps. It depends on how the scan is planned, so a result
+    read more than once has to be ``stored`` first.
     """
-    measures = measures or {}
-    stored = workspace(spark, "pieces")
-    pieces = (
+    return (
         spark.read.option("lineSep", separator)
         .text(path)
         .filter(F.col("_metadata.file_size") > larger_than)
@@ -47,13 +38,13 @@ def read_pieces(
             "value",
         )
     )
-    for name, measure in measures.items():
-        pieces = pieces.withColumn(name, measure.cast("bigint"))
-    pieces.write.parquet(stored)
-    columns = "file string, block bigint, id bigint, file_size bigint, value string"
-    for name in measures:
-        columns += f", {name} bigint"
-    return spark.read.schema(columns).parquet(stored)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, the same for every later pass."""
+    path = workspace(df.sparkSession, "pieces")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def whole_files(spark: SparkSession, path: str, up_to: int) -> DataFrame:

@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.schemas import CORRUPT
-from landgate.sources.blocks import BLOCK, WHOLE_FILE_LIMIT, before, read_pieces, whole_files
+from landgate.sources.blocks import (
+    BLOCK,
+    WHOLE_FILE_LIMIT,
+    before,
+    read_pieces,
+    stored,
+    whole_files,
+)
 from landgate.sources.landing import largest_file
 
 
@@ -134,38 +141,56 @@ def _piece_measures() -> dict[str, Column]:
     }
 
 
+def _place(local: DataFrame, starts: DataFrame) -> DataFrame:
+    """Pieces with their true depth and whether a record ends with them."""
+    return (
+        local.join(starts, list(BLOCK))
+        .withColumn("closes_file", F.expr("open_end AND id = last_id"))
+        .withColumn(
+            "deep", F.expr("starts_deep + if(starts_odd = 0, deep_if_even, deep_if_odd)")
+        )
+        .withColumn("outside", F.expr("(starts_odd + odd_before + odd) % 2 = 0"))
+        .withColumn(
+            "ends_record", F.expr("outside AND deep = int(is_array) AND NOT closes_file")
+        )
+    )
+
+
 def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
     """Cut large document files into documents of one record each.
 
     A file whose brackets do not balance is not a readable document. It yields one text naming the
     file, which no parser accepts, so the file is rejected whole as a small one would be.
     """
-    pieces = read_pieces(spark, path, "}", limit, _piece_measures())
     # Running values inside one block, which is at most one input split.
     running = "OVER (PARTITION BY file, block ORDER BY id)"
 
     # Level one: states relative to the start of the block, for both states it may start in.
-    local = (
+    pieces = read_pieces(spark, path, "}", limit).withColumns(_piece_measures())
+    local = stored(
         pieces.withColumn("odd_before", F.expr(f"(sum(odd) {running} - odd) % 2"))
-        .withColumn("even_start", F.expr("if(odd_before = 0, outer, inner)"))
-        .withColumn("odd_start", F.expr("if(odd_before = 0, inner, outer)"))
+        .withColumn("deep_if_even", F.expr(f"sum(if(odd_before = 0, outer, inner)) {running}"))
+        .withColumn("deep_if_odd", F.expr(f"sum(if(odd_before = 0, inner, outer)) {running}"))
+        .drop("outer", "inner")
     )
     # Level two: where each block really starts. One row per block.
     totals = local.groupBy(*BLOCK).agg(
         F.sum("odd").alias("odd"),
-        F.sum("even_start").alias("even_start"),
-        F.sum("odd_start").alias("odd_start"),
+        F.max_by("deep_if_even", "id").alias("change_if_even"),
+        F.max_by("deep_if_odd", "id").alias("change_if_odd"),
         F.max("id").alias("last_id"),
-        F.min_by(F.col("value").rlike(r"^\s*\["), "id").alias("opens_array"),
-        F.max_by(F.col("value").rlike(r"\]\s*\z"), "id").alias("ends_array"),
+        F.min_by("value", "id").alias("first_piece"),
+        F.max_by("value", "id").alias("last_piece"),
         F.sum(F.octet_length("value") + 1).alias("bytes"),
         F.max("file_size").alias("file_size"),
     )
     starts = (
         totals.withColumn("starts_odd", before("odd") % 2)
-        .withColumn("change", F.expr("if(starts_odd = 0, even_start, odd_start)"))
+        .withColumn("change", F.expr("if(starts_odd = 0, change_if_even, change_if_odd)"))
         .withColumn("starts_deep", before("change"))
         .withColumn("is_last", F.expr("block = max(block) OVER (PARTITION BY file)"))
+        .withColumn("opens_array", F.col("first_piece").rlike(r"^\s*\["))
+        .withColumn("ends_array", F.col("last_piece").rlike(r"\]\s*\z"))
         .withColumn("is_array", F.expr("min_by(opens_array, block) OVER (PARTITION BY file)"))
         # The last piece of a file may have been ended by the end of the file, not by "}". In an
         # array it must have been; elsewhere the bytes tell.
@@ -186,36 +211,30 @@ def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
         )
         .select(*BLOCK, "starts_odd", "starts_deep", "last_id", "open_end", "is_array", "balanced")
     )
-    placed = (
-        local.join(starts, list(BLOCK))
-        .withColumn("closes_file", F.expr("open_end AND id = last_id"))
-        .withColumn("change", F.expr("if(starts_odd = 0, even_start, odd_start)"))
-        .withColumn("deep", F.expr(f"starts_deep + sum(change) {running}"))
-        .withColumn("outside", F.expr("(starts_odd + odd_before + odd) % 2 = 0"))
-        .withColumn(
-            "ends_record", F.expr("outside AND deep = int(is_array) AND NOT closes_file")
-        )
-        .withColumn(
-            "ended_in_block", F.expr(f"sum(int(ends_record)) {running} - int(ends_record)")
-        )
-    )
+    placed = _place(local, starts)
     ended = placed.groupBy(*BLOCK).agg(F.count_if("ends_record").alias("ended"))
-    ended = ended.select(
-        *BLOCK,
-        before("ended").alias("ended_before"),
-        F.expr("sum(ended) OVER (PARTITION BY file)").alias("records"),
+    # Both results below start from this short table, so it is worked out once.
+    blocks = stored(
+        starts.join(
+            ended.select(
+                *BLOCK,
+                before("ended").alias("ended_before"),
+                F.expr("sum(ended) OVER (PARTITION BY file)").alias("records"),
+            ),
+            list(BLOCK),
+        ).withColumn("readable", F.expr("balanced AND records > 0"))
     )
-    numbered = placed.join(ended, list(BLOCK)).select(
+    numbered = _place(local, blocks.filter("readable")).select(
         *BLOCK,
         "id",
-        (F.col("ended_before") + F.col("ended_in_block")).alias("record"),
+        F.expr(f"ended_before + sum(int(ends_record)) {running} - int(ends_record)").alias(
+            "record"
+        ),
         F.expr("if(closes_file, value, concat(value, '}'))").alias("value"),
-        F.expr("balanced AND records > 0").alias("readable"),
     )
     # A record is one row of the result, so its pieces fit one group.
     texts = (
-        numbered.filter("readable")
-        .groupBy("file", "record")
+        numbered.groupBy("file", "record")
         .agg(F.sort_array(F.collect_list(F.struct("block", "id", "value"))).alias("parts"))
         .select(F.concat_ws("", F.col("parts.value")).alias("text"))
         .select(F.regexp_replace("text", r"^\s*[\[,]|\]\s*\z", "").alias("text"))
@@ -223,7 +242,7 @@ def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
         .select(F.concat(F.lit("["), F.col("text"), F.lit("]")).alias("value"))
     )
     unreadable = (
-        numbered.filter(~F.col("readable"))
+        blocks.filter("NOT readable")
         .select("file")
         .distinct()
         .select(F.concat(F.lit("[unreadable document "), F.col("file")).alias("value"))

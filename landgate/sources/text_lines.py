@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landgate.sources.blocks import BLOCK, WHOLE_FILE_LIMIT, before, read_pieces, whole_files
+from landgate.sources.blocks import (
+    BLOCK,
+    WHOLE_FILE_LIMIT,
+    before,
+    read_pieces,
+    stored,
+    whole_files,
+)
 from landgate.sources.landing import largest_file
 
 
@@ -27,7 +34,7 @@ def _lines_of_small_files(spark: SparkSession, path: str, limit: int) -> DataFra
 
 
 def _lines_of_large_files(spark: SparkSession, path: str, limit: int) -> DataFrame:
-    pieces = read_pieces(spark, path, "\n", limit)
+    pieces = stored(read_pieces(spark, path, "\n", limit))
     # Ids are consecutive inside a block, so the number of a line follows from the first id of its
     # block and the lines in the blocks before: only one row per block is shuffled.
     blocks = (
