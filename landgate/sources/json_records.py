@@ -124,21 +124,24 @@ def _depth_change(texts: Column) -> Column:
     return _occurrences(text, "{") + _occurrences(text, "[") - _occurrences(text, "]")
 
 
-def _piece_measures() -> dict[str, Column]:
+def _measure(pieces: DataFrame) -> DataFrame:
     """Quote parity of a piece, and its depth change if it starts outside or inside a string."""
     value = F.col("value")
     bare = F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
-    # Texts between quotes are in turn outside and inside of strings, or the other way round.
-    between = F.split(bare, '"')
-    odd = (F.size(between) - 1) % 2
-    every_other = F.filter(between, lambda _, i: i % 2 == 0)
-    the_others = F.filter(between, lambda _, i: i % 2 == 1)
-    # The "}" that ended the piece counts unless it stands inside a string.
-    return {
-        "odd": odd,
-        "outer": _depth_change(every_other) + odd - 1,
-        "inner": _depth_change(the_others) - odd,
-    }
+    return (
+        # Texts between quotes are in turn outside and inside of strings, or the other way round.
+        pieces.withColumn("_between", F.split(bare, '"'))
+        .withColumn("odd", (F.size("_between") - 1) % 2)
+        # The "}" that ended the piece counts unless it stands inside a string.
+        .withColumn(
+            "outer",
+            _depth_change(F.filter("_between", lambda _, i: i % 2 == 0)) + F.col("odd") - 1,
+        )
+        .withColumn(
+            "inner", _depth_change(F.filter("_between", lambda _, i: i % 2 == 1)) - F.col("odd")
+        )
+        .drop("_between")
+    )
 
 
 def _place(local: DataFrame, starts: DataFrame) -> DataFrame:
@@ -166,7 +169,7 @@ def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
     running = "OVER (PARTITION BY file, block ORDER BY id)"
 
     # Level one: states relative to the start of the block, for both states it may start in.
-    pieces = read_pieces(spark, path, "}", limit).withColumns(_piece_measures())
+    pieces = _measure(read_pieces(spark, path, "}", limit))
     local = stored(
         pieces.withColumn("odd_before", F.expr(f"(sum(odd) {running} - odd) % 2"))
         .withColumn("deep_if_even", F.expr(f"sum(if(odd_before = 0, outer, inner)) {running}"))
