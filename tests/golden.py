@@ -2,8 +2,6 @@
 
 import datetime
 
-from pyspark.sql import functions as F
-
 from landgate.schemas import RISK
 
 # Fixed values. (type, identifier, scenario, year, percentile, class, metric, value, proxied, region)

@@ -1,4 +1,5 @@
 import json
+import os
 import uuid
 
 import pytest
@@ -89,8 +90,6 @@ def test_empty_source(spark, folder, files):
 def test_tables_are_replaced(spark, folder, linked):
     root = f"{folder}/tables" if linked else None
     source = f"{folder}/in"
-    import os
-
     os.makedirs(source)
     cfg = GateConfig(source, valid_table=name("v"), invalid_table=name("i"), table_root=root)
     bills(source, GOOD, {**GOOD, "cost": "2"}, {"usage": 3})

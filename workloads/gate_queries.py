@@ -13,7 +13,6 @@ from landgate.sources.json_records import parse_documents, parse_records, read_j
 from landgate.workspace import workspace
 from workloads.landed import (
     BILLS_JUDGED,
-    TRADES,
     TRADES_JUDGED,
     bill_records,
     land_trades,
