@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL they must agree with, where SQL can say it."""
 
-from landgate.llm import sharding
+from landgate.llm import quality, sharding
 
-MODULES = (sharding,)
+MODULES = (quality, sharding)
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
