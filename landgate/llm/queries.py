@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL they must agree with, where SQL can say it."""
 
-from landgate.llm import quality, sharding, urls
+from landgate.llm import byte_bpe, packing, quality, sharding, urls
 
-MODULES = (quality, urls, sharding)
+MODULES = (quality, urls, sharding, packing, byte_bpe)
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
