@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL they must agree with, where SQL can say it."""
 
-from landgate.llm import byte_bpe, html_text, licenses, packing, quality, sharding, urls
+from landgate.llm import byte_bpe, html_text, language, licenses, packing, quality, sharding, urls
 
-MODULES = (licenses, quality, html_text, urls, sharding, packing, byte_bpe)
+MODULES = (licenses, quality, html_text, language, urls, sharding, packing, byte_bpe)
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
