@@ -1,6 +1,28 @@
 """The registered queries of this subpackage and the SQL they must agree with, where SQL can say it."""
 
-from landgate.llm import byte_bpe, html_text, language, licenses, packing, quality, sharding, topk, urls
+from landgate.llm import (
+    byte_bpe,
+    html_text,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    quality,
+    sharding,
+    topk,
+    urls,
+)
 
-MODULES = (licenses, quality, html_text, topk, language, urls, sharding, packing, byte_bpe)
+MODULES = (
+    licenses,
+    quality,
+    html_text,
+    topk,
+    language,
+    jaccard,
+    urls,
+    sharding,
+    packing,
+    byte_bpe,
+)
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
