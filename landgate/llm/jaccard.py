@@ -283,6 +283,28 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those whose group holds a smaller doc_id.
+
+    Of rows that share a doc_id the one with the smallest hash of all its columns stays. Rows without a
+    doc_id stay, as they are in no group.
+    """
+    found = stored(jaccard_groups(docs).select("doc_id", "component_id"), "jaccard-kept")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    again = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return left
+    if again.count() <= BROADCAST_IDS:
+        again = F.broadcast(again)
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    rows = left.select("doc_id", F.xxhash64(*docs.columns).alias("_hash"), row)
+    firsts = rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("_row", "_hash").alias("_row"))
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(firsts.select("_row.*"))
+
+
 def op6_signature_tree(spark, sf_dir):
     return jaccard_groups(table(spark, sf_dir, "documents"))
 
