@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from landgate.llm.memory import Memory
 from landgate.llm.tables import stored, table
@@ -42,51 +45,44 @@ LEFT_GROUP = 2048
 REMEMBERED, RECENT = 900_000, 100_000
 #: Texts tokenized together.
 TEXTS = 256
+#: Letters that the tokenizer leaves as they are, or only makes small, and never splits.
+LATIN = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(f"([a-zA-Z{LATIN}]*)([.,!]*)")
 
 
-class Encoder:
+class Encoder(Memory):
     """Ids of whole texts as little-endian 32-bit numbers, by a tokenizer that drops white space.
 
     Such a tokenizer (here: one that normalises character by character and splits at white space before
     it merges) gives a text the ids of its pieces between spaces one after the other, so every distinct
-    piece is encoded once and remembered, up to a bound.
+    piece is encoded once and remembered, up to a bound. Of a piece of plain letters with points or commas
+    behind, the letters go straight to the tokenizer's merges, as it would not change or split them.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
+        super().__init__(REMEMBERED, RECENT)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = Memory(REMEMBERED, RECENT)
-
-    def _encode(self, pieces: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        for piece, encoding in zip(pieces, found, strict=True):
-            self.known.add(piece, np.array(encoding.ids, "<u4").tobytes())
-
-    def learn(self, pieces: set[str]) -> None:
-        """Make all of ``pieces`` known. A piece of ASCII letters with points or commas behind is put
-        together from both, in lower case, as the tokenizer would."""
-        self.known.forget()
-        new = pieces - self.known.keys()
-        parts = {}
-        for piece in new:
-            core = piece.rstrip(".,!")
-            low = core.lower() if core.isascii() else core
-            if core.isalpha() and (len(core) < len(piece) or low != piece):
-                parts[piece] = (low, piece[len(core) :])
-        wanted = new - parts.keys()
-        wanted.update(p for pair in parts.values() for p in pair)
-        wanted = list(wanted - self.known.keys())
-        self._encode(wanted)
-        for piece, (core, rest) in parts.items():
-            self.known.add(piece, self.known[core] + self.known[rest])
+        self.model = self.tokenizer.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in LATIN}
+
+    def __missing__(self, piece: str) -> bytes:
+        plain = PLAIN.fullmatch(piece)
+        if plain and plain[1]:
+            letters = plain[1].lower()
+            shown = letters if letters.isascii() else letters.translate(self.shown)
+            ids = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+            ids += self[plain[2]] if plain[2] else b""
+        else:
+            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        self.add(piece, ids)
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(set().union(*cut))
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        self.forget()
+        ids = self.__getitem__
+        return [b"".join(map(ids, text.replace("\n", " ").split(" "))) for text in texts]
 
 
 @functools.lru_cache(maxsize=2)
