@@ -1,10 +1,11 @@
 """Groups of documents linked by the Jaccard similarity of their 5-word shingles, by signature trees.
 
 1. Every text's shingles are hashed to 64 bits. Equal sets are one node from here on, so copies cost nothing.
-2. Two sets of similarity 0.75 share a number among the first floor(n / 4) + 1 of each in any common
-   order. The order puts common numbers last, by their counts in a sample of the documents (the order
-   decides how much there is to compare, not what is found). Nodes that share such a number may be
-   linked; the components of that relation are clusters, and no link leaves a cluster.
+2. Every set gets KEYS keys; a key is made of KEY_PARTS of the set's MINIMA minima, each the smallest of its
+   numbers after multiplication by one constant. Two sets of similarity 0.75 miss each other in all keys
+   with a chance below 1e-9, more similar ones with less. A task keeps one row per key and links other
+   holders to the first, so what is shuffled of a common key is a row per batch. Components of sets that
+   share keys are clusters.
 3. The sets of a cluster are arranged in signature trees, and a dual traversal finds links. A large cluster
    is dealt into chunks of bounded size. After the links within chunks, one set of every group of each
    chunk meets the others, which joins groups that lie in several chunks. What a cluster then still
@@ -12,8 +13,8 @@
 4. Components of the links are the groups.
 
 No pair is expanded that is connected already, no task holds more than two chunks, and ids, links and
-components stay distributed. Only the order's table (at most ORDERED numbers) and, if there are few, the
-ids of candidate documents are sent to all executors; more of these are joined instead.
+components stay distributed. Only the ids of candidate documents are sent to all executors, if there
+are few; more of them are joined instead.
 
 Defined results: without words or text n_shingles is 0 and the document is linked with nothing; with fewer
 words than a shingle the whole sequence is one; equal texts, and rows of one doc_id, are in one group; a
@@ -30,19 +31,16 @@ from pyspark.sql import functions as F
 from landgate.llm import words as W
 from landgate.llm.batches import measured
 from landgate.llm.components import components
-from landgate.llm.signature_tree import PERCENT, links
+from landgate.llm.signature_tree import links
 from landgate.llm.tables import stored, table
 
 SHINGLE = 5
-#: One document of so many is counted for the order; numbers in so many of these count as common; and the
-#: table of the order holds so many numbers at most.
-SAMPLED, COMMON, ORDERED = 8, 4, 1 << 20
+#: Keys of a set; minima that one is made of; minima of a set; the draw of multipliers and minima.
+KEYS, KEY_PARTS, MINIMA, SEED = 120, 5, 256, 20240
 #: Most numbers, and most sets, in one chunk or one bin of small clusters.
 CHUNK_NUMBERS, CHUNK_SETS = 1 << 20, 2048
 #: Most candidate documents whose ids are broadcast (16 bytes each in memory).
 BROADCAST_IDS = 1 << 20
-#: Texts of a task whose copies are left out before the shuffle.
-SEEN = 100_000
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE):
@@ -78,69 +76,63 @@ def node_names(numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
     return W.mixed((total[first[1:]] - total[first[:-1]]) ^ (size * W.GRAM)).view(np.int64)
 
 
-def common_numbers(docs: DataFrame) -> np.ndarray:
-    """The numbers that come last in the order, rarest first."""
+def set_keys(numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The keys of each set, (sets, KEYS); no set is empty."""
+    draw = np.random.default_rng(SEED)
+    factors = draw.integers(1, 1 << 62, MINIMA).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    parts = np.stack([draw.choice(MINIMA, KEY_PARTS, replace=False) for _ in range(KEYS)])
+    minima = np.stack([np.minimum.reduceat(numbers * f, first[:-1]) for f in factors])
+    keys = np.zeros((KEYS, len(first) - 1), np.uint64)
+    for k in range(KEY_PARTS):
+        keys = keys * W.GRAM + W.mixed(minima[parts[:, k]])
+    return W.mixed(keys).T
 
-    def numbers(column: pa.Array) -> dict:
-        parts = [n.view(np.int64)[a:b] for n, f in shingle_sets(column) for a, b in zip(f[:-1], f[1:], strict=True)]
-        return {"numbers": parts}
 
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0)
-    counted = measured(some, numbers, "numbers array<long>", keep=())
-    counted = counted.select(F.explode("numbers").alias("number")).groupBy("number").count()
-    counted = stored(counted.filter(F.col("count") >= COMMON), "jaccard-common")
-    level = F.floor(F.log2("count")).cast("int")
-    n, least = 0, None
-    for row in counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
-        if n + row["count"] > ORDERED:
-            break
-        n, least = n + row["count"], row["level"]
-    if least is None:
-        return np.zeros(0, np.uint64)
-    kept = counted.filter(level >= least).toArrow()
-    number = kept.column("number").to_numpy().view(np.uint64)
-    return number[np.lexsort((number, kept.column("count").to_numpy()))]
-
-
-def prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, prefix): set size, name of the set, and its first numbers in the order; the
-    prefix is null where the task has given it for an equal set before."""
-    rank = np.argsort(common)
-    sent = docs.sparkSession.sparkContext.broadcast((common[rank], rank.astype(np.uint64)))
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, node, keys, near): set size, name of the set, the keys that no set before it in its
+    batch has, and the sets before it that have the other ones."""
 
     def measure(column: pa.Array) -> dict:
-        out: dict[str, list] = {"n": [], "node": [], "prefix": []}
-        seen: set[int] = set()
-        last, rank = sent.value
+        sizes, names, keys = [], [], []
         for numbers, first in shingle_sets(column):
             size = np.diff(first)
-            names = node_names(numbers, first)
-            place = numbers >> np.uint64(1)
-            if len(last):
-                at = np.minimum(np.searchsorted(last, numbers), len(last) - 1)
-                place = np.where(last[at] == numbers, np.uint64(1 << 63) + rank[at], place)
-            owner = np.repeat(np.arange(len(size)), size)
-            ordered = numbers[np.lexsort((place, owner))].view(np.int64)
-            length = size - -(-PERCENT * size // 100) + 1
-            for i, (name, n) in enumerate(zip(names.tolist(), size.tolist(), strict=True)):
-                new = n > 0 and name not in seen
-                if new and len(seen) < SEEN:
-                    seen.add(name)
-                out["n"].append(n)
-                out["node"].append(name if n else None)
-                out["prefix"].append(ordered[first[i] : first[i] + length[i]] if new else None)
-        return out
-
-    return measured(docs, measure, "n long, node long, prefix array<long>")
+            name = node_names(numbers, first)
+            held = np.flatnonzero(size)
+            own = np.zeros((len(size), KEYS), np.uint64)
+            if len(held):
+                own[held] = set_keys(numbers, np.append(first[:-1][held], first[-1]))
+            sizes.append(size)
+            names.append(name)
+            keys.append(own)
+        if not sizes:
+            return {"n": [], "node": [], "keys": [], "near": []}
+        size, name, keys = np.concatenate(sizes), np.concatenate(names), np.concatenate(keys)
+        held = np.flatnonzero(size)
+        held = held[np.unique(name[held], return_index=True)[1]]
+        flat = keys[held].ravel()
+        _, at, which = np.unique(flat, return_index=True, return_inverse=True)
+        is_first = np.zeros(len(flat), bool)
+        is_first[at] = True
+        before = name[held][(at // KEYS)[which]].reshape(-1, KEYS)
+        is_first = is_first.reshape(-1, KEYS)
+        new: list = [None] * len(size)
+        near: list = [None] * len(size)
+        for i, row in enumerate(held.tolist()):
+            new[row] = keys[row][is_first[i]].view(np.int64)
+            near[row] = np.setdiff1d(before[i][~is_first[i]], name[row])
+        return {"n": size, "node": [v if n else None for v, n in zip(name.tolist(), size, strict=True)], "keys": new, "near": near}
+
+    return measured(docs, measure, "n long, node long, keys array<long>, near array<long>")
 
 
 def clusters(found: DataFrame) -> DataFrame:
-    """(node, component): components of nodes that share a prefix number; others are left out."""
-    rows = found.filter("prefix IS NOT NULL").select("node", F.explode("prefix").alias("number"))
-    shared = rows.groupBy("number").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = shared.filter("least < most").select("number", "least")
-    pairs = rows.join(shared, "number").filter("node <> least")
-    return components(pairs.select(F.col("node").alias("a"), F.col("least").alias("b")), "jaccard-clusters")
+    """(node, component): components of sets that share a key; sets that share none are left out."""
+    rows = found.select("node", F.explode("keys").alias("key"))
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
+    shared = rows.select("node", before.alias("other")).filter("node <> other").distinct()
+    near = found.select("node", F.explode("near").alias("other"))
+    edges = shared.union(near).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    return components(edges, "jaccard-clusters")
 
 
 def candidate_sets(docs: DataFrame, found: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -264,10 +256,10 @@ def large_cluster_links(large: DataFrame, found: DataFrame) -> DataFrame:
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    found = stored(prefixes(docs, common_numbers(docs)), "jaccard-prefixes")
+    found = stored(keyed(docs), "jaccard-keys")
     grouped = stored(clusters(found), "jaccard-clusters")
     sets = stored(candidate_sets(docs, found, grouped), "jaccard-sets")
-    units = stored(dealt(sets).withColumn("grp", F.col("node")), "jaccard-units")
+    units = dealt(sets).withColumn("grp", F.col("node"))
     linked = stored(inner_links(units), "jaccard-links")
     large = units.filter("chunks > 1")
     if not large.isEmpty():
