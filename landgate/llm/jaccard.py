@@ -205,7 +205,8 @@ def cross_links(left: DataFrame, right: DataFrame) -> DataFrame:
             out = [(node[i], node[j]) for i, j in pairs]
         return type(some)({"a": [a for a, _ in out], "b": [b for _, b in out]}, dtype="int64")
 
-    sides = [df.select("unit", "node", "numbers", "grp").groupBy("unit") for df in (left, right)]
+    own = [F.col(c).alias(c) for c in ("unit", "node", "numbers", "grp")]  # both sides may come of one table
+    sides = [df.select(*own).groupBy("unit") for df in (left, right)]
     return sides[0].cogroup(sides[1]).applyInPandas(run, "a long, b long")
 
 
