@@ -4,19 +4,23 @@ Every step gives each node's larger (or smaller-or-equal) neighbours to its smal
 one pre-aggregated minimum and one join on the node, which Spark may split when a node has very many
 neighbours. A component ends as a star around its smallest node, after about log(n)**2 steps at worst.
 The edges of a step are stored in the shared folder; only their count and checksum reach the driver.
+Edges that make stars already need the fewest steps.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from landgate.llm.tables import stored
 
 
-def _checksum(edges: DataFrame) -> tuple:
+def _step(edges: DataFrame, purpose: str) -> tuple[DataFrame, tuple]:
+    """The edges stored, and their count and checksum, taken by the tasks that write them."""
+    seen = Observation()
     mark = F.xxhash64("a", "b").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(mark)).first())
+    edges = stored(edges.observe(seen, F.count("*").alias("n"), F.sum(mark).alias("mark")), purpose)
+    return edges, (seen.get["n"], seen.get["mark"])
 
 
 def _to_smallest(links: DataFrame, strictly_larger: bool) -> DataFrame:
@@ -40,16 +44,15 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     edges = edges.filter("a IS NOT NULL AND b IS NOT NULL")
     loops = edges.filter("a = b").select(F.col("a").alias("node")).distinct()
     edges = edges.filter("a <> b").select(larger.alias("a"), smaller.alias("b")).distinct()
-    edges = stored(edges, purpose)
-    before = _checksum(edges)
+    edges, before = _step(edges, purpose)
     while before[0]:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        stars = _to_smallest(both, strictly_larger=True).distinct()
+        stars = _to_smallest(both, strictly_larger=True)
         down = stars.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        edges = stored(_to_smallest(down, strictly_larger=False).filter("a <> b").distinct(), purpose)
-        after = _checksum(edges)
+        edges = _to_smallest(down, strictly_larger=False).filter("a <> b").distinct()
+        edges, after = _step(edges, purpose)
         if after == before:
             break
         before = after

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from landgate.llm import words as W
 from landgate.llm.batches import measured
 from landgate.llm.components import components
-from landgate.llm.signature_tree import links
+from landgate.llm.signature_tree import Groups, links
 from landgate.llm.tables import stored, table
 
 SHINGLE = 5
@@ -128,8 +128,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def clusters(found: DataFrame) -> DataFrame:
     """(node, component): components of sets that share a key; sets that share none are left out."""
     rows = found.select("node", F.explode("keys").alias("key"))
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    shared = rows.select("node", before.alias("other")).filter("node <> other").distinct()
+    least = F.first("node").over(Window.partitionBy("key").orderBy("node"))
+    shared = rows.select("node", least.alias("other")).filter("node <> other")
     near = found.select("node", F.explode("near").alias("other"))
     edges = shared.union(near).select(F.col("node").alias("a"), F.col("other").alias("b"))
     return components(edges, "jaccard-clusters")
@@ -175,7 +175,7 @@ def _numbers(column) -> list[np.ndarray]:
 
 
 def inner_links(units: DataFrame) -> DataFrame:
-    """(a, b): links within the units (unit, cluster, node, numbers, grp); equal grp are linked already."""
+    """(a, b): each set that is linked within its unit, with the first set of its group there."""
 
     def run(rows):
         out = []
@@ -183,11 +183,13 @@ def inner_links(units: DataFrame) -> DataFrame:
             if len(own) > 1:
                 own = own.sort_values("node")
                 node = own["node"].tolist()
-                pairs = links(_numbers(own["numbers"]), own["grp"].tolist())
-                out += [(node[i], node[j]) for i, j in pairs]
+                groups = Groups(list(range(len(node))))
+                for i, j in links(_numbers(own["numbers"])):
+                    groups.join(i, j)
+                out += [(node[i], node[root]) for i, root in enumerate(groups.roots().tolist()) if i != root]
         return type(rows)({"a": [a for a, _ in out], "b": [b for _, b in out]}, dtype="int64")
 
-    rows = units.select("unit", "cluster", "node", "numbers", "grp")
+    rows = units.select("unit", "cluster", "node", "numbers")
     return rows.groupBy("unit").applyInPandas(run, "a long, b long")
 
 
@@ -210,29 +212,20 @@ def cross_links(left: DataFrame, right: DataFrame) -> DataFrame:
     return sides[0].cogroup(sides[1]).applyInPandas(run, "a long, b long")
 
 
-def with_groups(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows`` with ``grp``, the component of the links found so far."""
-    known = components(found, "jaccard-groups").select("node", F.col("component").alias("_grp"))
-    rows = rows.drop("grp").join(known, "node", "left")
-    return rows.withColumn("grp", F.coalesce("_grp", "node")).drop("_grp")
-
-
-def large_cluster_links(large: DataFrame, found: DataFrame) -> DataFrame:
-    """All ``found`` links and those between the chunks of large clusters (cluster, node, n, numbers,
-    chunks, unit)."""
-    rounds = 0
-    grouped = stored(with_groups(large, found), "jaccard-large")
-    chosen = grouped
-    while True:
-        one = Window.partitionBy("unit", "grp").orderBy("node")
-        ones = chosen.withColumn("_k", F.row_number().over(one)).filter("_k = 1").drop("_k", "unit", "chunks")
+def large_cluster_groups(large: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component) of all links: those ``found`` within units, and those between the chunks of
+    large clusters (cluster, node, n, numbers, chunks)."""
+    ones = large
+    for _ in range(3):  # sets that stand for their group in a chunk meet those of the other chunks
+        absorbed = found.select(F.col("a").alias("node")).distinct()
+        ones = ones.drop("chunks", "unit").join(absorbed, "node", "left_anti")
         ones = stored(dealt(ones), "jaccard-ones")
         found = stored(found.union(inner_links(ones)), "jaccard-links")
-        rounds += 1
-        if rounds > 3 or ones.filter("chunks > 1").isEmpty():
+        if ones.filter("chunks > 1").isEmpty():
             break
-        chosen = stored(with_groups(ones, found), "jaccard-chosen")
-    grouped = stored(with_groups(large, found), "jaccard-large")
+    groups = stored(components(found, "jaccard-groups"), "jaccard-groups")
+    known = groups.select("node", F.col("component").alias("_grp"))
+    grouped = large.join(known, "node", "left").withColumn("grp", F.coalesce("_grp", "node")).drop("_grp", "unit")
 
     sizes = grouped.groupBy("cluster", "grp").agg(F.sum("n").alias("n"), F.count("*").alias("sets"))
     main = sizes.groupBy("cluster").agg(
@@ -243,7 +236,9 @@ def large_cluster_links(large: DataFrame, found: DataFrame) -> DataFrame:
     rest_size = rest_size.agg(F.sum("n").alias("n"), F.sum("sets").alias("sets"))
     parts = F.greatest(F.ceil(F.col("n") / CHUNK_NUMBERS), F.ceil(F.col("sets") / CHUNK_SETS)).cast("int")
     main = stored(main.join(rest_size.select("cluster", parts.alias("parts")), "cluster"), "jaccard-rest")
-    open_ = grouped.join(main, "cluster")
+    if main.isEmpty():
+        return groups
+    open_ = stored(grouped.join(main, "cluster"), "jaccard-open")
     part, chunk = F.pmod(F.xxhash64("node"), F.col("parts")), F.pmod(F.xxhash64("node"), F.col("chunks"))
     rest = open_.filter("grp <> main").withColumn("part", part.cast("int"))
     rest = rest.withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
@@ -251,7 +246,8 @@ def large_cluster_links(large: DataFrame, found: DataFrame) -> DataFrame:
     whole = whole.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
     unit = F.xxhash64("cluster", "part", "chunk").alias("unit")
     own = ("node", "numbers", "grp")
-    return found.union(cross_links(rest.select(unit, *own), whole.select(unit, *own)))
+    across = stored(cross_links(rest.select(unit, *own), whole.select(unit, *own)), "jaccard-links")
+    return groups if across.isEmpty() else components(found.union(across), "jaccard-groups")
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -260,12 +256,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     found = stored(keyed(docs), "jaccard-keys")
     grouped = stored(clusters(found), "jaccard-clusters")
     sets = stored(candidate_sets(docs, found, grouped), "jaccard-sets")
-    units = dealt(sets).withColumn("grp", F.col("node"))
+    units = dealt(sets)
     linked = stored(inner_links(units), "jaccard-links")
     large = units.filter("chunks > 1")
-    if not large.isEmpty():
-        linked = stored(large_cluster_links(large, linked), "jaccard-links")
-    groups = components(linked, "jaccard-groups")
+    groups = components(linked, "jaccard-groups") if large.isEmpty() else large_cluster_groups(large, linked)
     nodes = found.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     nodes = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
