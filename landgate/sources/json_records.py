@@ -7,20 +7,14 @@ value of the wrong type or broken syntax rejects the record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.schemas import CORRUPT
-from landgate.sources.blocks import (
-    BLOCK,
-    WHOLE_FILE_LIMIT,
-    before,
-    read_pieces,
-    stored,
-    whole_files,
-)
-from landgate.sources.landing import largest_file
+from landgate.sources.blocks import stored
+from landgate.sources.documents import cut_column, cut_documents
+from landgate.workspace import workspace
 
 
 def read_json(
@@ -30,23 +24,18 @@ def read_json(
     multiline: bool = True,
     granularity: str = "element",
     corrupt: str = CORRUPT,
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
 ) -> DataFrame:
-    """Read line-delimited JSON, or files that each hold one JSON document.
+    """Read line-delimited JSON, or files of JSON documents.
 
-    Line-delimited files are split by Spark. A document file is an array of records or a single
-    record; ``granularity="element"`` judges each record of an array, ``"document"`` rejects all
-    records of a document together when one of them is bad. Element-wise reading cuts documents
-    above ``whole_file_limit`` bytes into records in parallel; ``"document"`` reads each file in one
-    task.
+    Line-delimited files are split by Spark. Document files hold records, one after the other or in
+    arrays, over any number of lines; ``granularity="element"`` judges each record by itself, and
+    reads files of any size in splits. ``"document"`` rejects all records of a file together when
+    one of them is bad; it takes a file as one array or record and reads it in one task.
     """
     if granularity not in ("element", "document"):
         raise ValueError(f"unknown granularity {granularity!r}")
     if multiline and granularity == "element":
-        documents = whole_files(spark, path, whole_file_limit).select("value")
-        if largest_file(spark, path) > whole_file_limit:
-            documents = documents.unionByName(_cut_documents(spark, path, whole_file_limit))
-        return parse_documents(documents, "value", schema, corrupt)
+        return _read_cut(cut_documents(spark, path), schema, corrupt)
     scan = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -57,6 +46,22 @@ def read_json(
     return _keep_all_columns_parsed(scan, corrupt)
 
 
+def _read_cut(cut: DataFrame, schema: T.StructType, corrupt: str) -> DataFrame:
+    """Judge cut texts (value, is_record).
+
+    Records are written as lines, their line breaks as spaces, and read again: of Spark's JSON parsers
+    only that of lines keeps number tokens in text fields as they are. The others are rejected as they are.
+    """
+    cut = stored(cut)
+    path = workspace(cut.sparkSession, "records")
+    lines = cut.filter("is_record").select(F.translate("value", "\r\n", "  ").alias("value"))
+    lines.write.text(path)
+    records = read_json(cut.sparkSession, path, schema, multiline=False, corrupt=corrupt)
+    columns = [F.col("value") if f.name == corrupt else F.lit(None).cast(f.dataType) for f in schema.fields]
+    named = [c.alias(f.name) for c, f in zip(columns, schema.fields, strict=True)]
+    return records.union(cut.filter("NOT is_record").select(*named))
+
+
 def _keep_all_columns_parsed(scan: DataFrame, corrupt: str) -> DataFrame:
     """Tie the corrupt-record column to every other column.
 
@@ -84,170 +89,19 @@ def _judge(texts: DataFrame, column: str, schema: T.StructType, corrupt: str) ->
 def parse_records(
     df: DataFrame, column: str, schema: T.StructType, corrupt: str = CORRUPT
 ) -> DataFrame:
-    """Parse a text column holding one JSON record per row; blank text yields no record."""
-    return _judge(df.filter(F.trim(column) != ""), column, schema, corrupt)
+    """Parse a text column holding one JSON record per row.
+
+    Blank text yields no record; NULL text a rejected record ``null``.
+    """
+    texts = df.select(F.coalesce(column, F.lit("null")).alias("_record"))
+    return _judge(texts.filter(F.trim("_record") != ""), "_record", schema, corrupt)
 
 
 def parse_documents(
     df: DataFrame, column: str, schema: T.StructType, corrupt: str = CORRUPT
 ) -> DataFrame:
-    """Parse a text column holding JSON documents, judging each record of an array by itself.
+    """Parse a text column holding JSON documents, cut and judged as document files are.
 
-    A document that is no readable array or record is rejected whole.
+    NULL text is a rejected record ``null``.
     """
-    text = F.col(column)
-    elements = F.transform(
-        F.from_json(text, "array<string>"), lambda e: F.coalesce(e, F.lit("null"))
-    )
-    records = (
-        F.when(text.rlike(r"^\s*\z"), F.array().cast("array<string>"))
-        .when(text.rlike(r"^\s*\["), F.coalesce(elements, F.array(text)))
-        .otherwise(F.array(text))
-    )
-    return _judge(df.select(F.explode(records).alias("_record")), "_record", schema, corrupt)
-
-
-# --- large documents ------------------------------------------------------------------------
-#
-# The text is read in pieces that end at "}", wherever the record boundaries are. Whether a piece
-# starts inside a string, and how deep, follows from the quotes and brackets before it in the file:
-# first relative to its block, then from the totals of the earlier blocks.
-
-
-def _occurrences(text: Column, mark: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
-
-
-def _depth_change(texts: Column) -> Column:
-    """Opening minus closing brackets in an array of texts that hold no "}"."""
-    text = F.concat_ws("", texts)
-    return _occurrences(text, "{") + _occurrences(text, "[") - _occurrences(text, "]")
-
-
-def _measure(pieces: DataFrame) -> DataFrame:
-    """Quote parity of a piece, and its depth change if it starts outside or inside a string."""
-    value = F.col("value")
-    bare = F.when(value.contains("\\"), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
-    return (
-        # Texts between quotes are in turn outside and inside of strings, or the other way round.
-        pieces.withColumn("_between", F.split(bare, '"'))
-        .withColumn("odd", (F.size("_between") - 1) % 2)
-        # The "}" that ended the piece counts unless it stands inside a string.
-        .withColumn(
-            "outer",
-            _depth_change(F.filter("_between", lambda _, i: i % 2 == 0)) + F.col("odd") - 1,
-        )
-        .withColumn(
-            "inner", _depth_change(F.filter("_between", lambda _, i: i % 2 == 1)) - F.col("odd")
-        )
-        .drop("_between")
-    )
-
-
-def _place(local: DataFrame, starts: DataFrame) -> DataFrame:
-    """Pieces with their true depth and whether a record ends with them."""
-    return (
-        local.join(starts, list(BLOCK))
-        .withColumn("closes_file", F.expr("open_end AND id = last_id"))
-        .withColumn(
-            "deep", F.expr("starts_deep + if(starts_odd = 0, deep_if_even, deep_if_odd)")
-        )
-        .withColumn("outside", F.expr("(starts_odd + odd_before + odd) % 2 = 0"))
-        .withColumn(
-            "ends_record", F.expr("outside AND deep = int(is_array) AND NOT closes_file")
-        )
-    )
-
-
-def _cut_documents(spark: SparkSession, path: str, limit: int) -> DataFrame:
-    """Cut large document files into documents of one record each.
-
-    A file whose brackets do not balance is not a readable document. It yields one text naming the
-    file, which no parser accepts, so the file is rejected whole as a small one would be.
-    """
-    # Running values inside one block, which is at most one input split.
-    running = "OVER (PARTITION BY file, block ORDER BY id)"
-
-    # Level one: states relative to the start of the block, for both states it may start in.
-    pieces = _measure(read_pieces(spark, path, "}", limit))
-    local = stored(
-        pieces.withColumn("odd_before", F.expr(f"(sum(odd) {running} - odd) % 2"))
-        .withColumn("deep_if_even", F.expr(f"sum(if(odd_before = 0, outer, inner)) {running}"))
-        .withColumn("deep_if_odd", F.expr(f"sum(if(odd_before = 0, inner, outer)) {running}"))
-        .drop("outer", "inner")
-    )
-    # Level two: where each block really starts. One row per block.
-    totals = local.groupBy(*BLOCK).agg(
-        F.sum("odd").alias("odd"),
-        F.max_by("deep_if_even", "id").alias("change_if_even"),
-        F.max_by("deep_if_odd", "id").alias("change_if_odd"),
-        F.max("id").alias("last_id"),
-        F.min_by("value", "id").alias("first_piece"),
-        F.max_by("value", "id").alias("last_piece"),
-        F.sum(F.octet_length("value") + 1).alias("bytes"),
-        F.max("file_size").alias("file_size"),
-    )
-    starts = (
-        totals.withColumn("starts_odd", before("odd") % 2)
-        .withColumn("change", F.expr("if(starts_odd = 0, change_if_even, change_if_odd)"))
-        .withColumn("starts_deep", before("change"))
-        .withColumn("is_last", F.expr("block = max(block) OVER (PARTITION BY file)"))
-        .withColumn("opens_array", F.col("first_piece").rlike(r"^\s*\["))
-        .withColumn("ends_array", F.col("last_piece").rlike(r"\]\s*\z"))
-        .withColumn("is_array", F.expr("min_by(opens_array, block) OVER (PARTITION BY file)"))
-        # The last piece of a file may have been ended by the end of the file, not by "}". In an
-        # array it must have been; elsewhere the bytes tell.
-        .withColumn(
-            "open_end",
-            F.expr(
-                "is_last AND if(is_array, ends_array,"
-                " sum(bytes) OVER (PARTITION BY file) = file_size + 1)"
-            ),
-        )
-        .withColumn(
-            "balanced",
-            F.expr(
-                "sum(change + int(open_end)) OVER (PARTITION BY file) = 0"
-                " AND sum(odd) OVER (PARTITION BY file) % 2 = 0"
-                " AND (NOT is_array OR max_by(ends_array, block) OVER (PARTITION BY file))"
-            ),
-        )
-        .select(*BLOCK, "starts_odd", "starts_deep", "last_id", "open_end", "is_array", "balanced")
-    )
-    placed = _place(local, starts)
-    ended = placed.groupBy(*BLOCK).agg(F.count_if("ends_record").alias("ended"))
-    # Both results below start from this short table, so it is worked out once.
-    blocks = stored(
-        starts.join(
-            ended.select(
-                *BLOCK,
-                before("ended").alias("ended_before"),
-                F.expr("sum(ended) OVER (PARTITION BY file)").alias("records"),
-            ),
-            list(BLOCK),
-        ).withColumn("readable", F.expr("balanced AND records > 0"))
-    )
-    numbered = _place(local, blocks.filter("readable")).select(
-        *BLOCK,
-        "id",
-        F.expr(f"ended_before + sum(int(ends_record)) {running} - int(ends_record)").alias(
-            "record"
-        ),
-        F.expr("if(closes_file, value, concat(value, '}'))").alias("value"),
-    )
-    # A record is one row of the result, so its pieces fit one group.
-    texts = (
-        numbered.groupBy("file", "record")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "id", "value"))).alias("parts"))
-        .select(F.concat_ws("", F.col("parts.value")).alias("text"))
-        .select(F.regexp_replace("text", r"^\s*[\[,]|\]\s*\z", "").alias("text"))
-        .filter(~F.col("text").rlike(r"^\s*\z"))
-        .select(F.concat(F.lit("["), F.col("text"), F.lit("]")).alias("value"))
-    )
-    unreadable = (
-        blocks.filter("NOT readable")
-        .select("file")
-        .distinct()
-        .select(F.concat(F.lit("[unreadable document "), F.col("file")).alias("value"))
-    )
-    return texts.unionByName(unreadable)
+    return _read_cut(cut_column(df, column), schema, corrupt)
