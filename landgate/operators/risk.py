@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 
 from landgate.schemas import OPEN_END
 
+# Names of the metric, scenarios, percentiles and horizons as the data states them.
 PHYSICAL_RISK = "phys_risk_score"
 WORST_SCENARIO, WORST_PERCENTILE = "RCP 8.5", "P95"
 BEST_SCENARIOS, BEST_PERCENTILE = ("RCP 4.5", "SSP1-2.6"), "P5"
 HORIZONS = ("2030", "2050", "2100")
 
+# Parts of a group that are ranked apart first.
+SALTS = 64
+
 # An IN list of this many literals still becomes one hash-set test pushed to the scan; a longer one
 # would bloat the plan, so it turns into a semi join.
 MAX_IN_LIST = 1000
@@ -133,15 +137,16 @@ def of_metric(df: DataFrame, metric: str | None) -> DataFrame:
 
 
 def avg_by(
-    df: DataFrame, keys: Sequence[str], metric: str | None = PHYSICAL_RISK, history: bool = False
+    df: DataFrame, keys: Sequence[str], metric: str | None = None, history: bool = False
 ) -> DataFrame:
-    """Average value per keys, highest first, with record and instrument counts."""
+    """Average value per keys, of one metric or of all, highest first, with record and instrument
+    counts."""
     rows = of_metric(_scope(df, history), metric)
     return _exposure(rows, keys).orderBy(F.desc("avg_risk"), *keys)
 
 
 def exposure_by(
-    df: DataFrame, key: str, metric: str | None = PHYSICAL_RISK, history: bool = False
+    df: DataFrame, key: str, metric: str | None = None, history: bool = False
 ) -> DataFrame:
     """Number of instruments and average value per key."""
     return _exposure(of_metric(_scope(df, history), metric), [key])
@@ -202,20 +207,30 @@ def _side_by_side(
     )
 
 
+def _one_below_the_other(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy("identifier_type", "identifier", column).agg(
+        F.max("metric_value").alias("metric_value")
+    )
+
+
 def compare_scenarios(
     df: DataFrame,
     year: str,
     percentile: str,
-    metric: str | None = PHYSICAL_RISK,
-    scenarios: Sequence[str] = ("RCP 4.5", "RCP 8.5"),
+    metric: str | None = None,
+    scenarios: Sequence[str] | None = None,
     history: bool = False,
 ) -> DataFrame:
-    """One row per instrument, one column per scenario, at one year and one percentile."""
+    """Instruments under several scenarios, at one year and one percentile.
+
+    Named scenarios are columns, one row per instrument; without names every scenario is a row.
+    """
     rows = of_metric(_scope(df, history), metric).filter(
-        (F.col("scenario_year") == year)
-        & (F.col("scenario_percentile") == percentile)
-        & F.col("scenario_name").isin(list(scenarios))
+        (F.col("scenario_year") == year) & (F.col("scenario_percentile") == percentile)
     )
+    if scenarios is None:
+        return _one_below_the_other(rows, "scenario_name")
+    rows = rows.filter(F.col("scenario_name").isin(list(scenarios)))
     return _side_by_side(rows, "scenario_name", scenarios)
 
 
@@ -223,18 +238,19 @@ def compare_horizons(
     df: DataFrame,
     scenario: str,
     percentile: str,
-    metric: str | None = PHYSICAL_RISK,
-    years: Sequence[str] | None = HORIZONS,
+    metric: str | None = None,
+    years: Sequence[str] | None = None,
     history: bool = False,
 ) -> DataFrame:
-    """One row per instrument, one column per year; ``years=None`` lists every year as rows."""
+    """Instruments over several years, under one scenario and one percentile.
+
+    Named years are columns, one row per instrument; without names every year is a row.
+    """
     rows = of_metric(_scope(df, history), metric).filter(
         (F.col("scenario_name") == scenario) & (F.col("scenario_percentile") == percentile)
     )
     if years is None:
-        return rows.groupBy("identifier_type", "identifier", "scenario_year").agg(
-            F.max("metric_value").alias("metric_value")
-        )
+        return _one_below_the_other(rows, "scenario_year")
     rows = rows.filter(F.col("scenario_year").isin(list(years)))
     return _side_by_side(rows, "scenario_year", years, prefix="y")
 
@@ -246,17 +262,28 @@ def top_risk(
     ties: Sequence[str] = ("identifier", "metric_name"),
     history: bool = False,
 ) -> DataFrame:
-    """The ``k`` highest values per group, ranked.
+    """The ``k`` instruments with the highest values per group, ranked, each with its highest row.
 
-    Each task keeps only its own best ``k`` per group before the shuffle (window group limit), so
-    the size of a group does not matter. ``ties`` should make the order unique.
+    An instrument's best row is found by an aggregation that combines before the shuffle. Then the
+    instruments of a group are ranked in SALTS parts, of which at most ``k`` rows go on to the
+    group's ranking, so no task sorts a large group, whatever ``k`` is. ``ties`` should make the
+    order unique.
     """
-    w = Window.partitionBy(by).orderBy(F.desc_nulls_last("metric_value"), *ties)
-    return (
-        _scope(df, history)
-        .withColumn("risk_rank", F.row_number().over(w))
-        .filter(F.col("risk_rank") <= k)
+    low = F.struct(
+        F.col("metric_value").isNull(), (-F.col("metric_value")).alias("v"), *(F.col(t) for t in ties)
+    )
+    rows = _scope(df, history).select(
+        F.col(by).alias("_by"), F.col("identifier_type").alias("_type"), F.col("identifier").alias("_id"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), low.alias("_low"),
+    )
+    best = rows.groupBy("_by", "_type", "_id").agg(
+        F.min_by("_row", "_low").alias("_row"), F.min("_low").alias("_low")
     )
+    salt = F.pmod(F.xxhash64("_type", "_id"), F.lit(SALTS))
+    part = Window.partitionBy("_by", salt).orderBy("_low")
+    few = best.withColumn("_n", F.row_number().over(part)).filter(F.col("_n") <= k)
+    rank = F.row_number().over(Window.partitionBy("_by").orderBy("_low"))
+    return few.withColumn("risk_rank", rank).filter(F.col("risk_rank") <= k).select("_row.*", "risk_rank")
 
 
 def instrument_profile(df: DataFrame, id_type: str, identifier: str) -> DataFrame:

@@ -97,7 +97,7 @@ def test_instrument_profile(risk):
 
 
 def test_avg_by(risk):
-    got = R.avg_by(risk, ["asset_class", "scenario_name"]).collect()
+    got = R.avg_by(risk, ["asset_class", "scenario_name"], R.PHYSICAL_RISK).collect()
     assert rounded([(r[0], r[1], r.avg_risk, r.record_count) for r in got]) == [
         ("FIXED_INCOME", "RCP 8.5", 0.521, 1),
         ("MULTI_ASSET", "RCP 8.5", 0.4715, 2),
@@ -108,7 +108,7 @@ def test_avg_by(risk):
 
 
 def test_exposure_by(risk):
-    got = R.exposure_by(risk, "region").orderBy("region").collect()
+    got = R.exposure_by(risk, "region", R.PHYSICAL_RISK).orderBy("region").collect()
     assert rounded([(r.region, r.instrument_count, r.avg_risk) for r in got]) == [
         ("Asia Pacific", 1, 0.558), ("Europe", 2, 0.455), ("Global", 1, 0.4715),
         ("North America", 2, 0.3648),
@@ -135,16 +135,22 @@ def test_worst_and_best_case(risk):
 
 
 def test_compare_scenarios(risk):
-    got = {r.identifier: (r.rcp_4_5, r.rcp_8_5) for r in R.compare_scenarios(risk, "2050", "P50").collect()}
+    got = {r.identifier: (r.rcp_4_5, r.rcp_8_5) for r in R.compare_scenarios(
+        risk, "2050", "P50", R.PHYSICAL_RISK, ("RCP 4.5", "RCP 8.5")
+    ).collect()}
     assert got.pop("US0378331005") == (0.198, 0.342)
     assert len(got) == 5 and all(low is None and high is not None for low, high in got.values())
 
 
 def test_compare_horizons(risk):
-    got = {r.identifier: tuple(r)[2:] for r in R.compare_horizons(risk, "RCP 8.5", "P50").collect()}
+    got = {r.identifier: tuple(r)[2:] for r in R.compare_horizons(
+        risk, "RCP 8.5", "P50", R.PHYSICAL_RISK, R.HORIZONS
+    ).collect()}
     assert got["US5949181045"] == (0.285, 0.412, None)
     assert got["BGSAX"] == (None, 0.298, 0.645)
-    every = R.compare_horizons(risk, "RCP 8.5", "P50", years=None)
+    every = R.compare_horizons(risk.unionByName(risk.withColumn("scenario_year", F.lit("2040"))), "RCP 8.5", "P50")
+    assert every.filter("scenario_year = '2040'").count() > 0
+    every = R.compare_horizons(risk, "RCP 8.5", "P50", R.PHYSICAL_RISK)
     assert every.filter("identifier = 'BGSAX'").count() == 2
 
 
@@ -165,6 +171,13 @@ def test_top_risk(risk):
     assert R.top_risk(risk, "region", 2).groupBy("region").count().agg(F.max("count")).first()[0] == 2
 
 
+def test_top_risk_ranks_instruments(risk):
+    got = R.top_risk(risk.unionByName(risk), "asset_class", 5000)
+    own = got.groupBy("asset_class", "identifier_type", "identifier").count()
+    assert own.agg(F.max("count")).first()[0] == 1
+    assert own.count() == R.current(risk).select("asset_class", "identifier_type", "identifier").distinct().count()
+
+
 def test_instrument_question(risk):
     got = R.instrument_question(risk, "ISIN", "US0378331005", "RCP 8.5", "2050").collect()
     assert sorted((r.scenario_percentile, r.metric_value) for r in got) == [

@@ -102,11 +102,15 @@ def compare_scenarios(spark, sf):
 
 
 def compare_horizons(spark, sf):
-    return R.compare_horizons(risk_rows(spark, sf), "RCP 8.5", "P95", METRIC)
+    return R.compare_horizons(risk_rows(spark, sf), "RCP 8.5", "P95", METRIC, years=R.HORIZONS)
 
 
 def compare_all_horizons(spark, sf):
-    return R.compare_horizons(risk_rows(spark, sf), "RCP 4.5", "P50", METRIC, years=None)
+    return R.compare_horizons(risk_rows(spark, sf), "RCP 4.5", "P50", METRIC)
+
+
+def compare_all_scenarios(spark, sf):
+    return R.compare_scenarios(risk_rows(spark, sf), "2030", "P5")
 
 
 def top_risk(spark, sf):
@@ -248,17 +252,27 @@ QUERIES = {
             FROM risk WHERE {CURRENT} AND metric_name_internal = '{METRIC}'
             AND scenario_name = 'RCP 4.5' AND scenario_percentile = 'P50' GROUP BY 1, 2, 3"""),
     ),
+    "compare_all_scenarios": (
+        compare_all_scenarios,
+        risk_sql(f"""SELECT identifier_type, identifier, scenario_name, max(metric_value) AS metric_value
+            FROM risk WHERE {CURRENT} AND scenario_year = '2030' AND scenario_percentile = 'P5'
+            GROUP BY 1, 2, 3"""),
+    ),
     "top_risk": (
         top_risk,
         risk_sql(f"""SELECT * FROM (SELECT {ALL}, CAST(row_number() OVER (PARTITION BY asset_class
-            ORDER BY metric_value DESC, identifier, metric_name, k) AS INTEGER) AS risk_rank
-            FROM risk WHERE {CURRENT}) WHERE risk_rank <= 5"""),
+            ORDER BY metric_value DESC NULLS LAST, identifier, metric_name, k) AS INTEGER) AS risk_rank
+            FROM (SELECT *, row_number() OVER (PARTITION BY asset_class, identifier_type, identifier
+              ORDER BY metric_value DESC NULLS LAST, identifier, metric_name, k) AS own FROM risk WHERE {CURRENT})
+            WHERE own = 1) WHERE risk_rank <= 5"""),
     ),
     "top_risk_by_region": (
         top_risk_by_region,
         risk_sql(f"""SELECT * FROM (SELECT {ALL}, CAST(row_number() OVER (PARTITION BY region
-            ORDER BY metric_value DESC, identifier, metric_name, k) AS INTEGER) AS risk_rank
-            FROM risk WHERE {CURRENT}) WHERE risk_rank <= 3"""),
+            ORDER BY metric_value DESC NULLS LAST, identifier, metric_name, k) AS INTEGER) AS risk_rank
+            FROM (SELECT *, row_number() OVER (PARTITION BY region, identifier_type, identifier
+              ORDER BY metric_value DESC NULLS LAST, identifier, metric_name, k) AS own FROM risk WHERE {CURRENT})
+            WHERE own = 1) WHERE risk_rank <= 3"""),
     ),
     "score_range": (
         score_range,
