@@ -17,12 +17,27 @@ def conform(
     """Select exactly the target's columns, in its order.
 
     A value that does not fit its target type (a bad date, a number too large) becomes NULL; it
-    does not fail the load. A missing required value does, before anything is committed: Spark
+    does not fail the load, and ``nulled_metrics`` counts it. A missing required value does, before anything is committed: Spark
     keeps NOT NULL of a file table as a note only. Load stamps of one query are all equal.
     """
     return df.select(*[_fill(df, c, enforce_required).alias(c.name) for c in target])
 
 
+def nulled_metrics(df: DataFrame, target: Sequence[TargetColumn]) -> list[Column]:
+    """Aggregates: per target column that is retyped, the values that become NULL in it."""
+    return [
+        F.count_if(F.col(c.source).isNotNull() & _retype(df, c).isNull()).alias(f"nulled_{i}")
+        for i, c in enumerate(target)
+        if not c.is_stamp and c.type not in ("string", "variant")
+    ]
+
+
+def nulled_counts(metrics: dict[str, int], target: Sequence[TargetColumn]) -> dict[str, int]:
+    """What ``nulled_metrics`` found, by column name."""
+    found = {c.name: metrics.get(f"nulled_{i}") for i, c in enumerate(target)}
+    return {name: n for name, n in found.items() if n is not None}
+
+
 def _fill(df: DataFrame, column: TargetColumn, enforce_required: bool) -> Column:
     value = _retype(df, column)
     if column.required and enforce_required:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,7 +25,7 @@ def create_target(
         + (" DEFAULT current_timestamp()" if c.is_stamp else "")
         for c in target
     )
-    where = f" LOCATION '{path}'" if path else ""
+    where = " LOCATION '{}'".format(path.replace("'", "\\'")) if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet{where}")
 
 
@@ -54,22 +55,41 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> tuple[
     return written, df.sparkSession.table(name).count()
 
 
-def publish_files(spark: SparkSession, name: str, schema, path: str) -> None:
+def _is_managed(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Type'")
+    return any(r.data_type == "MANAGED" for r in rows.collect())
+
+
+def publish_files(
+    spark: SparkSession, name: str, schema, path: str, replace: bool = False
+) -> None:
     """Let table ``name`` show the parquet files already written under ``path``.
 
-    A table with the same columns is switched to the new files in one catalog operation, so readers
-    see the old or the new contents and a failed run changes nothing.
+    An external table with the same columns is switched to the new files in one catalog operation,
+    so readers see the old or the new contents and a failed run changes nothing. A managed table,
+    whose files would go with it, and one with other columns are refused; with ``replace`` the new
+    table stands under another name before the old one is dropped.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    if spark.catalog.tableExists(name):
-        if [(f.name, f.dataType) for f in spark.table(name).schema.fields] == [
-            (f.name, f.dataType) for f in schema.fields
-        ]:
-            spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(name)
-            return
-        spark.sql(f"DROP TABLE {_quoted(name)}")
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet LOCATION '{path}'")
+    where = path.replace("'", "\\'")
+    create = f"CREATE TABLE {{}} ({columns}) USING parquet LOCATION '{where}'"
+    if not spark.catalog.tableExists(name):
+        spark.sql(create.format(_quoted(name)))
+        return
+    same = [(f.name, f.dataType) for f in spark.table(name).schema.fields] == [
+        (f.name, f.dataType) for f in schema.fields
+    ]
+    if same and not _is_managed(spark, name):
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{where}'")
+        spark.catalog.refreshTable(name)
+        return
+    if not replace:
+        raise ValueError(f"table {name} is managed or has other columns; say so to replace it")
+    *before, last = name.split(".")
+    new = ".".join([*before, f"{last}_{uuid.uuid4().hex[:8]}"])
+    spark.sql(create.format(_quoted(new)))
+    spark.sql(f"DROP TABLE {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(new)} RENAME TO {_quoted(name)}")
 
 
 def clustered(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,8 +22,10 @@ STAGED_FLAG = "is_valid"
 @dataclass(frozen=True)
 class GateConfig:
     """``table_root``, a folder that outlives the run, makes the gate write good records once:
-    they are staged there and the valid table shows those files. Without it the records are staged
-    in the session's shared folder and copied into managed tables."""
+    they are staged there and the tables show those files. Existing tables are switched over if they
+    have the same columns and are not managed; others are refused unless ``replace_tables`` is set.
+    Without ``table_root`` the records are staged in the session's shared folder and copied into managed
+    tables."""
 
     source: str
     schema: T.StructType = BILLING
@@ -34,6 +37,7 @@ class GateConfig:
     invalid_table: str | None = None
     audit_table: str | None = None
     table_root: str | None = None
+    replace_tables: bool = False
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,18 @@ class GateReport:
     tables: dict = field(default_factory=dict)
 
 
+@contextmanager
+def _open_files(spark: SparkSession, n: int):
+    """Let a writing task hold ``n`` files open, so that it need not sort its rows by their file."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stage(
     parsed: DataFrame,
     path: str,
@@ -71,7 +87,8 @@ def stage(
         *Q.validity_metrics(corrupt),
         *Q.quality_metrics(key_fields, rules, among=F.col(STAGED_FLAG)),
     )
-    flagged.write.mode("errorifexists").partitionBy(STAGED_FLAG).parquet(path)
+    with _open_files(parsed.sparkSession, 2):
+        flagged.write.mode("errorifexists").partitionBy(STAGED_FLAG).parquet(path)
     # Declared, not inferred: partition values would come back as text, and an empty source leaves
     # nothing to infer from.
     schema = T.StructType([*parsed.schema.fields, T.StructField(STAGED_FLAG, T.BooleanType())])
@@ -130,15 +147,22 @@ def gate_records(parsed: DataFrame, cfg: GateConfig) -> GateReport:
     tables = {}
     if cfg.valid_table and metrics["valid"]:
         if cfg.table_root:
-            publish_files(spark, cfg.valid_table, valid.schema, f"{path}/{STAGED_FLAG}=true")
+            where = f"{path}/{STAGED_FLAG}=true"
+            publish_files(spark, cfg.valid_table, valid.schema, where, cfg.replace_tables)
             tables[cfg.valid_table] = metrics["valid"]
         else:
             tables[cfg.valid_table] = _verified(overwrite_table(valid, cfg.valid_table))
     if cfg.invalid_table and metrics["invalid"]:
         # Every reading task leaves a small file of rejects; bring them to a sensible file size.
         compact = invalid.hint("rebalance")
-        where = f"{path}-rejects" if cfg.table_root else None
-        tables[cfg.invalid_table] = _verified(overwrite_table(compact, cfg.invalid_table, where))
+        if cfg.table_root:
+            where = f"{path}-rejects"
+            compact.write.parquet(where)
+            publish_files(spark, cfg.invalid_table, invalid.schema, where, cfg.replace_tables)
+            found = spark.table(cfg.invalid_table).count()
+            tables[cfg.invalid_table] = _verified((metrics["invalid"], found))
+        else:
+            tables[cfg.invalid_table] = _verified(overwrite_table(compact, cfg.invalid_table))
 
     if cfg.audit_table:
         append_table(gate_audit(summary, cfg), cfg.audit_table)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.operators import quality as Q
-from landgate.operators.conform import conform
+from landgate.operators.conform import conform, nulled_counts, nulled_metrics
 from landgate.operators.tables import append_table, create_target
+from landgate.plans.gate import stage, staged_sides
 from landgate.schemas import TRADE, TRADE_TARGET, TargetColumn
 from landgate.sources.json_records import read_json
+from landgate.workspace import workspace
 
 
 @dataclass(frozen=True)
@@ -26,11 +28,14 @@ class LoadConfig:
     table_path: str | None = None
     enforce_required: bool = True
     audit_table: str | None = None
+    invalid_table: str | None = None
+    invalid_path: str | None = None
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """``rejects`` reads the source again, if and when it is used."""
+    """``nulled`` counts, per retyped column, values that did not fit and became NULL. ``rejects``
+    reads the table of rejects if one was named, else the source again, if and when it is used."""
 
     source: str
     table: str
@@ -38,6 +43,7 @@ class LoadReport:
     valid_count: int
     invalid_count: int
     inserted: int
+    nulled: dict[str, int]
     audit: DataFrame = field(repr=False)
     rejects: DataFrame = field(repr=False)
 
@@ -46,17 +52,29 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadReport:
     """Append the good records of one landed source to its target table.
 
     Counting, conforming and appending are one job without a shuffle: the counts are observed on
-    the parsed rows while the good ones go on to the files. Not idempotent, like any append.
+    the parsed rows while the good ones go on to the files. With ``invalid_table`` the parsed rows
+    are staged first, split by validity, so that rejects are kept without a second scan of the
+    source. Not idempotent, like any append.
     """
     parsed = read_json(spark, cfg.source, cfg.schema, cfg.multiline)
-    observed = Observation()
-    counted = parsed.observe(observed, *Q.validity_metrics())
-    valid, _ = Q.split_valid(counted)
+    if cfg.invalid_table:
+        staged, counts = stage(parsed, workspace(spark, "load"))
+        valid, rejects = staged_sides(staged)
+        rejected = append_table(rejects.hint("rebalance"), cfg.invalid_table, cfg.invalid_path)
+        if rejected != counts["invalid"]:
+            raise RuntimeError(f"kept {rejected} of {counts['invalid']} rejected records")
+    else:
+        observed = Observation()
+        valid, _ = Q.split_valid(parsed.observe(observed, *Q.validity_metrics()))
+        rejects, counts = Q.split_valid(parsed)[1], None
+    nulled = Observation()
+    valid = valid.observe(nulled, F.count(F.lit(1)).alias("n"), *nulled_metrics(valid, cfg.target))
 
     create_target(spark, cfg.table, cfg.target, cfg.table_path)
     inserted = append_table(conform(valid, cfg.target, cfg.enforce_required), cfg.table)
-    counts = observed.get
-    audit = load_audit(spark, cfg, counts, inserted)
+    counts = counts or observed.get
+    changed = nulled_counts(nulled.get, cfg.target)
+    audit = load_audit(spark, cfg, counts, inserted, changed)
     if cfg.audit_table:
         append_table(audit, cfg.audit_table)
     return LoadReport(
@@ -66,16 +84,23 @@ def run_load(spark: SparkSession, cfg: LoadConfig) -> LoadReport:
         valid_count=counts["valid"],
         invalid_count=counts["invalid"],
         inserted=inserted,
+        nulled=changed,
         audit=audit,
-        rejects=Q.split_valid(parsed)[1],
+        rejects=rejects,
     )
 
 
 def load_audit(
-    spark: SparkSession, cfg: LoadConfig, counts: dict[str, int], inserted: int
+    spark: SparkSession,
+    cfg: LoadConfig,
+    counts: dict[str, int],
+    inserted: int,
+    nulled: dict[str, int],
 ) -> DataFrame:
+    figures = (counts["total"], counts["valid"], counts["invalid"], inserted)
     row = spark.createDataFrame(
-        [(cfg.source, counts["total"], counts["valid"], counts["invalid"], inserted, cfg.table)],
-        "source string, total bigint, valid bigint, invalid bigint, inserted bigint, target string",
+        [(cfg.source, *figures, cfg.table, list(nulled.items()))],
+        "source string, total bigint, valid bigint, invalid bigint, inserted bigint, target string, "
+        "nulled array<struct<field: string, nulls: bigint>>",
     )
     return Q.with_shares(row).withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))

@@ -1,3 +1,4 @@
+import dataclasses
 import json
 import os
 import uuid
@@ -53,7 +54,7 @@ def test_report(spark, folder):
         ("numeric_text(cost)", 1, "1 records with non-numeric cost"),
     ]
     assert CORRUPT not in report.valid.columns
-    assert [r[CORRUPT] for r in report.invalid.collect()] == ['{"usage":3}']
+    assert [r[CORRUPT] for r in report.invalid.collect()] == ['{"usage": 3}']
     summary = report.summary.first()
     assert (summary.valid_pct, summary.invalid_pct) == (75.0, 25.0)
 
@@ -96,7 +97,7 @@ def test_tables_are_replaced(spark, folder, linked):
     assert run_gate(spark, cfg).tables == {cfg.valid_table: 2, cfg.invalid_table: 1}
     assert run_gate(spark, cfg).tables == {cfg.valid_table: 2, cfg.invalid_table: 1}
     assert spark.table(cfg.valid_table).count() == 2
-    assert spark.table(cfg.invalid_table).select(CORRUPT).first()[0] == '{"usage":3}'
+    assert spark.table(cfg.invalid_table).select(CORRUPT).first()[0] == '{"usage": 3}'
     bills(source, {**GOOD, "cost": "7"})
     assert run_gate(spark, cfg).tables == {cfg.valid_table: 1}
     assert [r.cost for r in spark.table(cfg.valid_table).collect()] == ["7"]
@@ -107,12 +108,19 @@ def test_tables_are_replaced(spark, folder, linked):
     assert spark.table(cfg.invalid_table).count() == 1
 
 
-def test_linked_table_with_other_columns_is_recreated(spark, folder):
+@pytest.mark.parametrize("made", ["(a int) USING parquet LOCATION '{}/old'", "(a int) USING parquet"])
+def test_other_tables_are_replaced_only_on_demand(spark, folder, made):
     table = name("v")
-    spark.sql(f"CREATE TABLE {table} (a int) USING parquet LOCATION '{folder}/old'")
-    cfg = GateConfig(bills(folder, GOOD), valid_table=table, table_root=f"{folder}/tables")
-    run_gate(spark, cfg)
-    assert spark.table(table).count() == 1
+    spark.sql(f"CREATE TABLE {table} {made.format(folder)}")
+    spark.sql(f"INSERT INTO {table} VALUES (1)")
+    source = f"{folder}/in"
+    os.makedirs(source)
+    cfg = GateConfig(bills(source, GOOD), valid_table=table, table_root=f"{folder}/tables")
+    with pytest.raises(ValueError):
+        run_gate(spark, cfg)
+    assert spark.table(table).columns == ["a"] and spark.table(table).count() == 1
+    run_gate(spark, dataclasses.replace(cfg, replace_tables=True))
+    assert spark.table(table).count() == 1 and "cost" in spark.table(table).columns
 
 
 def test_audit_rows_add_up(spark, folder):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from golden import golden
+from workloads import REGISTRY
 from landgate.functions.variant import json_fields
 from landgate.operators import quality as Q
 from landgate.operators import risk as R
@@ -14,7 +15,7 @@ from landgate.operators.conform import conform
 from landgate.plans.gate import GateConfig, run_gate, stage, staged_sides
 from landgate.plans.load import LoadConfig, run_load
 from landgate.schemas import CORRUPT, TRADE, TRADE_TARGET
-from landgate.sources.json_records import parse_documents, parse_records, read_json
+from landgate.sources.json_records import parse_records, read_json
 from landgate.workspace import workspace
 
 SF = "/root/testdata/sf0.001"
@@ -121,11 +122,11 @@ def test_long_lookup_keeps_the_big_side_in_place(risk):
     assert "Exchange hashpartitioning" not in text
 
 
-def test_top_risk_limits_before_the_shuffle(risk):
-    text = plan(R.top_risk(risk, "asset_class", 3))
-    assert text.count("WindowGroupLimit") == 2
-    partial = text.index("Partial", text.index("WindowGroupLimit"))
-    assert text.index("Exchange hashpartitioning") < partial
+def test_top_risk_combines_and_ranks_in_parts(risk):
+    for k in (5, 5000):
+        text = plan(R.top_risk(risk, "asset_class", k))
+        assert "partial_min_by" in text
+        assert text.count("row_number()") >= 2
 
 
 def test_exposure_aggregates_before_every_shuffle_without_expanding(risk):
@@ -141,8 +142,9 @@ def test_latest_never_sorts_a_key_group_in_a_window(risk):
 
 
 def test_comparisons_shuffle_once(risk):
-    assert plan(R.compare_scenarios(risk, "2050", "P50")).count("Exchange") == 1
-    assert plan(R.compare_horizons(risk, "RCP 8.5", "P50")).count("Exchange") == 1
+    for named in (None, ("2030", "2050")):
+        assert plan(R.compare_scenarios(risk, "2050", "P50", scenarios=named)).count("Exchange") == 1
+        assert plan(R.compare_horizons(risk, "RCP 8.5", "P50", years=named)).count("Exchange") == 1
 
 
 def test_aggregates_read_only_their_columns(risk):
@@ -170,13 +172,10 @@ def test_records_of_a_column_are_parsed_once_when_filtered(spark):
     df = spark.read.parquet(f"{SF}/events.parquet").select("props")
     valid, _ = Q.split_valid(parse_records(df, "props", TRADE))
     assert optimized(valid).count("from_json") == 1
-    valid, _ = Q.split_valid(parse_documents(df, "props", TRADE))
-    # Once into elements, once into records.
-    assert optimized(valid).count("from_json") == 2
 
 
 def test_registered_queries_stay_in_the_jvm(spark):
-    for name, run in contract.queries().items():
+    for name, (run, _) in REGISTRY.items():
         text = plan(run(spark, SF))
         assert not re.search(r"PythonUDF|EvalPython|MapInPandas|MapInArrow|FlatMapGroups", text), name
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
@@ -184,7 +183,16 @@ def test_registered_queries_stay_in_the_jvm(spark):
 
 def test_every_query_with_sql_is_registered():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"landing_list", "draft_model"}
+    assert {name for name, (_, sql) in REGISTRY.items() if sql is None} == {"landing_list", "draft_model"}
+
+
+def test_staging_does_not_sort_the_records(spark, lines):
+    stage(read_json(spark, lines, TRADE, multiline=False), workspace(spark, "plans"))
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    texts = [executions.apply(i).physicalPlanDescription() for i in range(executions.size())]
+    written = [t for t in texts if "WriteFiles" in t and "is_valid" in t][-1]
+    assert "Sort" not in written
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 
 def test_validity_survives_pruning_in_the_plan(spark, lines):

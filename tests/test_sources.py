@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 import random
@@ -97,8 +98,14 @@ def test_document_elements_are_judged_one_by_one(spark, folder):
     "text, good, bad",
     [
         ('{"id":"1"}', 1, []),
-        ('[{"id":"1"}', 0, ['[{"id":"1"}']),
-        ('[{"id":"1"},{"id":}]', 0, ['[{"id":"1"},{"id":}]']),
+        ('[{"id":"1"}', 1, ["["]),
+        ('[{"id":"1"},{"id":}]', 1, ['{"id":}']),
+        ('[{"id":"1"},{"id":"2"', 1, ["[", '{"id":"2"']),
+        ('[{"id":"1"}] junk, more', 1, ["junk", "more"]),
+        ('{"id":"1"}\n{"id":"2"}\r\n\n{"id":"3"}', 3, []),
+        ('[{"id":"1"}]\n[{"id":"2"}]', 2, []),
+        ('{"id":"1","q":12345678.9} {"id":"2","q":0.0001}', 2, []),
+        ('{"id":"} \\" {","t":{"x":"]"}}', 1, []),
         ('[{"id":"1"},3,null]', 1, ["3", "null"]),
         ("[]", 0, []),
         (" \n ", 0, []),
@@ -141,41 +148,84 @@ def small_splits(spark):
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def texts_of(df):
+    return Counter((r["id"], r["q"], r[CORRUPT]) for r in df.collect())
+
+
 @pytest.mark.parametrize("indent", [None, 2])
-def test_large_documents_are_cut_like_small_ones(spark, folder, small_splits, indent):
+def test_documents_are_cut_alike_at_every_size(spark, folder, indent):
     for i in range(3):
-        put(folder, f"{i}.json", json.dumps(hard_records(150, i), indent=indent, ensure_ascii=False))
+        put(folder, f"{i}.json", json.dumps(hard_records(60, i), indent=indent, ensure_ascii=False))
+    put(folder, "lines.json", "\n".join(json.dumps(r) for r in hard_records(90, 7)))
     put(folder, "scalars.json", '[1, {"id":"a"}, null, [{"id":"no"}], {"id":"b"}, 3, null]\n' + " " * 2000)
     put(folder, "single.json", json.dumps({"id": "s" * 3000, "t": {"x": "}"}}))
-    put(folder, "single_line_end.json", json.dumps({"id": "n" * 3000, "t": {"x": "}"}}) + "\n")
-    want = read_json(spark, folder, SCHEMA)
-    got = read_json(spark, folder, SCHEMA, whole_file_limit=1000)
-    got, want = Counter(map(repr, got.collect())), Counter(map(repr, want.collect()))
-    assert got - want == Counter() and want - got == Counter()
+    put(folder, "deep.json", json.dumps([{"id": "d", "more": [{"x": ["{" * 900, {"y": "}" * 900}]}] * 9}] * 5))
+    text = json.dumps(hard_records(100, 2))
+    put(folder, "cut_after_record.json", text[: text.rindex("}")] + "}")
+    put(folder, "no_value.json", text.replace('"q":', '"q"', 1))
+    put(folder, "stray.json", text.replace("}, {", "}}, {", 1))
+    put(folder, "numbers.json", '[{"id":"n1","q":12345678.9,"cost":12345678.9},{"id":"n2","q":0.0001}]' + "\n" * 3000)
+    with gzip.open(f"{folder}/z.json.gz", "wt") as f:
+        f.write(json.dumps(hard_records(100, 3)) + "\n")
+    want = texts_of(read_json(spark, folder, SCHEMA))
+    whole = spark.read.text(folder, wholetext=True)
+    assert texts_of(parse_documents(whole, "value", SCHEMA)) == want
+    for size in ("1001", "2500"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            got = read_json(spark, folder, SCHEMA)
+            assert texts_of(got.filter(F.length(CORRUPT) < 1500)) == Counter(
+                {k: n for k, n in want.items() if k[2] and len(k[2]) < 1500}
+            )
+            assert texts_of(got.filter(F.col(CORRUPT).isNull())) == Counter({k: n for k, n in want.items() if not k[2]})
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_no_text_of_a_broken_document_is_lost(spark, folder, small_splits):
+    text = json.dumps(hard_records(100, 2))
+    cut = text[: text.index('"id": "r40') + 5]
+    put(folder, "cut.json", cut + " no end " * 900)
+    got = read_json(spark, folder, SCHEMA)
+    rejects = [r[CORRUPT] for r in got.collect() if r[CORRUPT]]
+    assert got.filter(F.col(CORRUPT).isNull()).count() + sum('"not a number"' in r for r in rejects) == 40
+    assert sum(r.count("no end") for r in rejects) == 900 and "[" in rejects
+
+
+def test_a_missing_quote_moves_only_where_rejects_are_cut(spark, folder):
+    text = json.dumps(hard_records(60, 2))
+    put(folder, "quote.json", text.replace('"q"', '"q', 1))
+
+    def found():
+        rows = read_json(spark, folder, SCHEMA).collect()
+        good = sorted((r["id"], r["q"]) for r in rows if not r[CORRUPT])
+        marks = Counter("".join(r[CORRUPT] or "" for r in rows))
+        return good, {c: n for c, n in marks.items() if c not in " ,[]"}
+
+    want = found()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert found() == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_small_and_large_documents_mix(spark, folder, small_splits):
-    put(folder, "small.json", '[{"id":"s1"},{"id":"s2"}]')
-    put(folder, "large.json", json.dumps(hard_records(100, 1)))
-    got = read_json(spark, folder, SCHEMA, whole_file_limit=1000)
-    want = read_json(spark, folder, SCHEMA)
-    assert verdicts(got) == verdicts(want)
+def test_number_tokens_of_documents_are_kept(spark, folder):
+    put(folder, "a.json", '[{"cost":12345678.9},\n{"cost":0.0001},{"cost":1.50},{"cost":1e-5}]')
+    got = read_json(spark, folder, BILLING)
+    assert sorted(r.cost for r in got.collect()) == ["0.0001", "1.50", "12345678.9", "1e-5"]
 
 
-def test_broken_large_document_is_rejected_whole(spark, folder, small_splits):
-    text = json.dumps(hard_records(100, 2))
-    put(folder, "cut.json", text[: len(text) // 2])
-    put(folder, "cut_after_record.json", text[: text.rindex("}")] + "}")
-    put(folder, "cut_object.json", json.dumps({"id": "c" * 3000})[:-1])
-    put(folder, "cut_object_inside.json", json.dumps({"t": {"x": "c" * 3000}})[:-1])
-    put(folder, "stray.json", text.replace("}, {", "}}, {", 1))
-    put(folder, "good.json", json.dumps([{"id": "x" * 1200}]))
-    got = read_json(spark, folder, SCHEMA, whole_file_limit=1000).collect()
-    bad = sorted(r[CORRUPT].rsplit("/", 1)[1] for r in got if r[CORRUPT])
-    assert bad == [
-        "cut.json", "cut_after_record.json", "cut_object.json", "cut_object_inside.json", "stray.json",
-    ]
-    assert [r["id"] for r in got if not r[CORRUPT]] == ["x" * 1200]
+def test_null_texts_are_rejected_and_counted(spark):
+    df = spark.createDataFrame([(None,), ('{"id":"1"}',), ("",)], "raw string")
+    for parse in (parse_records, parse_documents):
+        got = parse(df, "raw", SCHEMA).collect()
+        assert sorted((r["id"], r[CORRUPT]) for r in got if r["id"]) == [("1", None)]
+        assert [r[CORRUPT] for r in got if not r["id"]] == ["null"]
 
 
 def test_lines_are_numbered_per_file(spark, folder, small_splits):

@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 from landgate.operators import quality as Q
 from landgate.plans.gate import GateConfig, gate_records, run_gate
 from landgate.schemas import BILLING, BILLING_KEY_FIELDS, CORRUPT, TRADE
+from landgate.sources.landing import land
 from landgate.sources.json_records import parse_documents, parse_records, read_json
 from landgate.workspace import workspace
+from workloads.load_queries import read_and_drop
 from workloads.landed import (
     BILLS_JUDGED,
+    DOCUMENTS_JUDGED,
     TRADES_JUDGED,
     bill_records,
+    document_files,
     land_trades,
     trade_lines,
 )
@@ -87,7 +91,7 @@ def gate_tables(spark, sf):
         table_root=workspace(spark, "tables"),
     )
     counts = [
-        spark.table(t).agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("table_rows"))
+        read_and_drop(spark, t).agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("table_rows"))
         for side, t in sides.items()
     ]
     return counts[0].unionByName(counts[1])
@@ -105,13 +109,36 @@ def _documents(lines, broken):
 
 
 def gate_multiline(spark, sf):
-    # A malformed line makes its whole document unreadable, so those lines get their own ones.
+    # A malformed line never ends, and takes what follows with it, so those lines get their own ones.
     docs = _documents(trade_lines(spark, sf), F.col("k") % 10 == 0)
     return parse_documents(docs, "doc", TRADE).select(
         "record_id", "quantity", F.col(CORRUPT).alias("rejected")
     )
 
 
+def _land_documents(spark, sf):
+    """Document files with number-typed costs, nested text and all kinds of faults; returns their path."""
+    texts = document_files(spark, sf).select("doc").repartition(8)
+    path = workspace(spark, "documents")
+    land(texts, path, "text")
+    return path
+
+
+def documents_read(spark, sf):
+    df = read_json(spark, _land_documents(spark, sf), BILLING)
+    return df.select("billing_account_id", "cost", F.col(CORRUPT).alias("rejected"))
+
+
+def documents_gate(spark, sf):
+    report = run_gate(spark, GateConfig(_land_documents(spark, sf)))
+    return report.summary.select("total", "valid", "invalid", "status")
+
+
+def documents_rules(spark, sf):
+    valid, _ = Q.split_valid(read_json(spark, _land_documents(spark, sf), BILLING))
+    return Q.check_rules(valid, Q.BILLING_RULES)
+
+
 def _bills(spark, sf):
     docs = _documents(bill_records(spark, sf), F.lit(False))
     return parse_documents(docs, "doc", BILLING)
@@ -265,7 +292,40 @@ QUERIES = {
             CASE WHEN NOT good THEN raw END AS rejected
           FROM judged WHERE k % 10 <> 0
           UNION ALL
-          SELECT NULL, NULL, doc FROM documents_of WHERE broken AND NOT json_valid(doc)""",
+          SELECT NULL, NULL, substring(doc, 2) FROM documents_of WHERE broken
+          UNION ALL
+          SELECT NULL, NULL, '[' FROM documents_of WHERE broken""",
+    ),
+    "documents_read": (
+        documents_read,
+        DOCUMENTS_JUDGED
+        + """SELECT CASE WHEN good THEN json_extract_string(safe, '$.billing_account_id') END AS billing_account_id,
+            CASE WHEN good THEN replace(regexp_extract(safe, '"cost":([^,]*)', 1), '"', '') END AS cost,
+            CASE WHEN NOT good THEN raw END AS rejected FROM judged""",
+    ),
+    "documents_gate": (
+        documents_gate,
+        DOCUMENTS_JUDGED
+        + """SELECT count(*) AS total, count(*) FILTER (good) AS valid,
+            count(*) FILTER (NOT good) AS invalid, 'ISSUES' AS status FROM judged""",
+    ),
+    "documents_rules": (
+        documents_rules,
+        _rules_sql(
+            DOCUMENTS_JUDGED,
+            [
+                (
+                    "required(billing_account_id)",
+                    "json_extract_string(safe, '$.billing_account_id') IS NULL",
+                    "valid records with null billing_account_id",
+                ),
+                (
+                    "numeric_text(cost)",
+                    f"NOT regexp_matches(json_extract_string(safe, '$.cost'), '{NUMBER}')",
+                    "records with non-numeric cost",
+                ),
+            ],
+        ),
     ),
     "billing_null_stats": (billing_null_stats, _null_stats_sql(BILLS_JUDGED, BILLING_KEY_FIELDS)),
     "billing_rules": (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landgate.sources.landing import land
 from landgate.workspace import workspace
@@ -35,6 +36,28 @@ SELECT o_orderkey AS k, concat('{',
 FROM orders
 """
 
+# Records of document files: costs given as numbers, large and small ones too, and by the last digit of
+# the key a broken one (0), a scalar (1) or junk behind the document (2).
+RECORDS = """
+SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN '{"billing_account_id":}'
+  WHEN o_orderkey % 10 = 1 THEN 'null'
+  ELSE concat('{"cost":', CASE o_orderkey % 6 WHEN 0 THEN concat(CAST(o_custkey + 12345678 AS STRING), '.90')
+    WHEN 1 THEN '0.0001' WHEN 2 THEN '"n/a"' ELSE CAST(o_custkey AS STRING) END,
+    ',"service":{"id":"S","description":"a } and { and ]"}',
+    CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE concat(',"billing_account_id":"A', CAST(o_custkey AS STRING), '"') END,
+    '}') END AS raw
+FROM orders
+"""
+
+DOCUMENTS_JUDGED = f"""
+WITH texts AS (SELECT k, raw FROM ({RECORDS})
+  UNION ALL SELECT 0, 'junk behind it' FROM orders WHERE CAST(floor(o_orderkey / 100) AS BIGINT) % 10 = 2
+    GROUP BY floor(o_orderkey / 100)),
+judged AS (
+  SELECT raw, raw LIKE '{{%' AND json_valid(raw) AS good,
+    CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS safe FROM texts)
+"""
+
 # What DuckDB makes of a trade line: the corrupt ones, and the fields of the good ones.
 TRADES_JUDGED = f"""
 WITH trades AS ({TRADES}),
@@ -66,6 +89,16 @@ def bill_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_orders(spark, sf_dir, BILLS)
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc): arrays of about 100 records over several lines; some have junk behind them."""
+    records = _from_orders(spark, sf_dir, RECORDS)
+    docs = records.groupBy(F.floor(F.col("k") / 100).alias("d")).agg(
+        F.expr(r"concat('[', listagg(raw, ',\n ') WITHIN GROUP (ORDER BY k), ']')").alias("doc")
+    )
+    junk = F.when(F.col("d") % 10 == 2, F.lit("\njunk behind it")).otherwise(F.lit(""))
+    return docs.select(F.concat("doc", junk).alias("doc"))
+
+
 def land_trades(spark: SparkSession, sf_dir: str) -> str:
     """Trade lines written as a landed file set; returns its path."""
     path = workspace(spark, "trades")

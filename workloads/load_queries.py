@@ -33,13 +33,20 @@ def _name(purpose: str) -> str:
     return f"{purpose}_{uuid.uuid4().hex}"
 
 
-def _loaded(spark, sf, times=1):
+def read_and_drop(spark, name):
+    """The rows of an external table; its entry in the catalog goes, its files stay."""
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def _loaded(spark, sf, times=1, **more):
     source = land_trades(spark, sf)
     cfg = LoadConfig(
-        source, _name("trades"), table_path=workspace(spark, "trades-table"),
+        source, _name("trades"), table_path=workspace(spark, "trades-table"), **more
     )
     reports = [run_load(spark, cfg) for _ in range(times)]
-    return spark.table(cfg.table), reports
+    return read_and_drop(spark, cfg.table), reports
 
 
 def load_conform(spark, sf):
@@ -74,8 +81,15 @@ def load_append_count(spark, sf):
 
 
 def load_rejects(spark, sf):
+    rejected = _name("rejected")
+    _loaded(spark, sf, invalid_table=rejected, invalid_path=workspace(spark, "rejected"))
+    return read_and_drop(spark, rejected).select(F.col("_corrupt_record").alias("rejected"))
+
+
+def load_coerced(spark, sf):
+    """Per target column, the values that did not fit and became NULL, as the audit row states them."""
     _, reports = _loaded(spark, sf)
-    return reports[0].rejects.select(F.col("_corrupt_record").alias("rejected"))
+    return reports[0].audit.select(F.inline("nulled")).filter("nulls > 0")
 
 
 def load_overwrite_count(spark, sf):
@@ -83,7 +97,7 @@ def load_overwrite_count(spark, sf):
     name, path = _name("replaced"), workspace(spark, "replaced")
     for _ in range(2):
         written, verified = overwrite_table(to_variant(valid, "trade_details"), name, path)
-    return spark.table(name).agg(
+    return read_and_drop(spark, name).agg(
         F.lit(written).cast("bigint").alias("written"),
         F.lit(verified).cast("bigint").alias("verified"),
         F.count(F.lit(1)).alias("table_rows"),
@@ -95,7 +109,8 @@ def audit(spark, sf):
     cfg = LoadConfig(source, _name("trades"), table_path=workspace(spark, "trades-table"))
     report = run_load(spark, cfg)
     append_table(report.audit, audit_table, workspace(spark, "audit"))
-    return spark.table(audit_table).select(
+    spark.sql(f"DROP TABLE {cfg.table}")
+    return read_and_drop(spark, audit_table).select(
         "total", "valid", "invalid", "inserted",
         "valid_pct", "invalid_pct",
     )
@@ -112,7 +127,7 @@ def declared_insert(spark, sf):
     create_target(spark, name, spec)
     spark.read.parquet(f"{sf}/customer.parquet").createOrReplaceTempView("_customer")
     spark.sql(f"INSERT INTO {name} (cust_id, name) SELECT c_custkey, c_name FROM _customer")
-    return spark.table(name).select(
+    return read_and_drop(spark, name).select(
         "cust_id", "name", F.col("created_at").isNotNull().alias("stamped")
     )
 
@@ -125,7 +140,7 @@ def clustered_table(spark, sf):
         spread=["identifier", "metric_name", "effective_start_date", "k"],
     )
     append_table(rows, name, workspace(spark, "clustered"))
-    return spark.table(name)
+    return read_and_drop(spark, name)
 
 
 def schema_report(spark, sf):
@@ -175,6 +190,13 @@ QUERIES = {
             2 * count(*) FILTER (good) AS table_rows, count(*) FILTER (good) AS record_ids
             FROM judged""",
     ),
+    "load_coerced": (
+        load_coerced,
+        TRADES_JUDGED
+        + """SELECT 'TRADE_DATE' AS field, count(*) AS nulls FROM judged
+            WHERE good AND json_extract_string(safe, '$.trade_date') IS NOT NULL
+              AND TRY_CAST(json_extract_string(safe, '$.trade_date') AS DATE) IS NULL HAVING count(*) > 0""",
+    ),
     "load_rejects": (
         load_rejects, TRADES_JUDGED + "SELECT raw AS rejected FROM judged WHERE NOT good"
     ),

@@ -83,9 +83,26 @@ def _land_texts(spark, sf):
     return path, land(_table(spark, sf, "documents").select("text"), path, "text")
 
 
+FILES = 16
+
+
 def landed_lines(spark, sf):
-    path, _ = _land_texts(spark, sf)
-    return read_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    """The numbered lines of many files, each read in several splits, told apart by their folder."""
+    path = workspace(spark, "texts")
+    docs = _table(spark, sf, "documents").withColumn("g", F.col("doc_id") % FILES)
+    docs = docs.repartition(FILES, "g").sortWithinPartitions("g", "doc_id").select("text", "g")
+    docs.write.partitionBy("g").text(path)
+    splits = {"spark.sql.files.maxPartitionBytes": "50000", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in splits}
+    for key, value in splits.items():
+        spark.conf.set(key, value)
+    try:
+        lines = read_lines(spark, path, whole_file_limit=0)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    group = F.regexp_extract("file", "g=([0-9]+)", 1).cast("bigint")
+    return lines.select(group.alias("g"), "line_no", "value")
 
 
 def landed_lines_split(spark, sf):
@@ -155,8 +172,9 @@ QUERIES = {
     ),
     "landed_lines": (
         landed_lines,
-        """SELECT value, count(*) AS n
-            FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents) GROUP BY 1""",
+        """SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS line_no, value
+            FROM (SELECT doc_id % 16 AS g, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS value,
+                unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)""",
     ),
     "landed_lines_split": (
         landed_lines_split,
