@@ -83,6 +83,26 @@ def reject_sample(spark, sf):
     return Q.reject_sample(Q.split_valid(_trades(spark, sf))[1], n=5, width=30)
 
 
+OUTCOME_RULES = (Q.required("trade_date"),)
+#: Last digits of the keys whose lines make each of four sources, one for each verdict.
+OUTCOMES = {"clean": (4, 5, 6), "gaps": (3, 4, 5), "rejects": (0, 1, 4, 5), "both": (0, 1, 2, 3, 4)}
+
+
+def gate_outcomes(spark, sf):
+    answers = []
+    for source, digits in OUTCOMES.items():
+        lines = trade_lines(spark, sf).filter((F.col("k") % 10).isin(*digits))
+        cfg = GateConfig(source, schema=TRADE, key_fields=("trade_date",), rules=OUTCOME_RULES)
+        summary = gate_records(parse_records(lines, "raw", TRADE), cfg).summary
+        answers.append(summary.select("source", "total", "valid", "invalid", "status"))
+    return answers[0].union(answers[1]).union(answers[2]).union(answers[3])
+
+
+def good_sample(spark, sf):
+    shown = _valid_trades(spark, sf).select("record_id", "trade_date", "quantity")
+    return shown.orderBy("record_id").limit(5)
+
+
 def gate_tables(spark, sf):
     tag = uuid.uuid4().hex
     sides = {"valid": f"gate_valid_{tag}", "invalid": f"gate_invalid_{tag}"}
@@ -268,6 +288,30 @@ QUERIES = {
         + """SELECT CASE WHEN length(raw) > 30 THEN concat(substring(raw, 1, 30), '...') ELSE raw END
             AS rejected FROM (SELECT raw FROM judged WHERE NOT good ORDER BY raw LIMIT 5)""",
     ),
+    "gate_outcomes": (
+        gate_outcomes,
+        TRADES_JUDGED
+        + ", sources AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{source}' AS source, * FROM judged WHERE k % 10 IN {digits}"
+            for source, digits in OUTCOMES.items()
+        )
+        + """), counts AS (SELECT source, count(*) AS total, count(*) FILTER (good) AS valid,
+              count(*) FILTER (NOT good) AS invalid,
+              count(*) FILTER (good AND json_extract_string(safe, '$.trade_date') IS NULL) > 0 AS violated
+            FROM sources GROUP BY source)
+          SELECT source, total, valid, invalid, CASE WHEN invalid = 0 AND NOT violated THEN 'PASSED'
+            WHEN invalid = 0 THEN 'PASSED WITH WARNINGS' WHEN NOT violated THEN 'PARTIAL' ELSE 'ISSUES' END
+            AS status FROM counts""",
+    ),
+    "good_sample": (
+        good_sample,
+        GOOD_TRADES
+        + """SELECT json_extract_string(raw, '$.record_id') AS record_id,
+            json_extract_string(raw, '$.trade_date') AS trade_date,
+            CAST(json_extract_string(raw, '$.quantity') AS DOUBLE) AS quantity
+            FROM good ORDER BY record_id LIMIT 5""",
+    ),
     "gate_tables": (
         gate_tables,
         TRADES_JUDGED

@@ -92,6 +92,13 @@ def load_coerced(spark, sf):
     return reports[0].audit.select(F.inline("nulled")).filter("nulls > 0")
 
 
+def load_check(spark, sf):
+    """After a load: the rows of the table, and its first five."""
+    table, _ = _loaded(spark, sf)
+    first = table.select(F.col("RECORD_ID").alias("record_id"), F.col("QUANTITY").alias("quantity"))
+    return first.orderBy("record_id").limit(5).withColumn("table_rows", F.lit(table.count()))
+
+
 def load_overwrite_count(spark, sf):
     valid, _ = split_valid(read_json(spark, land_trades(spark, sf), TRADE, multiline=False))
     name, path = _name("replaced"), workspace(spark, "replaced")
@@ -197,6 +204,14 @@ QUERIES = {
             WHERE good AND json_extract_string(safe, '$.trade_date') IS NOT NULL
               AND TRY_CAST(json_extract_string(safe, '$.trade_date') AS DATE) IS NULL HAVING count(*) > 0""",
     ),
+    "load_check": (
+        load_check,
+        TRADES_JUDGED
+        + """SELECT json_extract_string(raw, '$.record_id') AS record_id,
+            CAST(json_extract_string(raw, '$.quantity') AS DECIMAL(18, 4)) AS quantity,
+            (SELECT count(*) FROM judged WHERE good) AS table_rows
+            FROM judged WHERE good ORDER BY record_id LIMIT 5""",
+    ),
     "load_rejects": (
         load_rejects, TRADES_JUDGED + "SELECT raw AS rejected FROM judged WHERE NOT good"
     ),

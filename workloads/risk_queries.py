@@ -94,6 +94,12 @@ def best_case(spark, sf):
     return R.best_case(risk_rows(spark, sf))
 
 
+def scores_shown(spark, sf):
+    """Sevenths of the scores, shown with three decimals."""
+    rows = risk_rows(spark, sf).select("k", (F.col("metric_value") / 7 + 1.23e-9).alias("score"))
+    return R.present(rows, "score")
+
+
 def compare_scenarios(spark, sf):
     return R.compare_scenarios(
         risk_rows(spark, sf), "2050", "P50", METRIC,
@@ -226,6 +232,10 @@ QUERIES = {
         risk_sql(f"""SELECT {ALL} FROM risk WHERE {CURRENT}
             AND scenario_name IN ('RCP 4.5', 'SSP1-2.6') AND scenario_percentile = 'P5'"""),
     ),
+    "scores_shown": (
+        scores_shown,
+        risk_sql("SELECT k, round(metric_value / 7 + 1.23e-9, 3) AS score FROM risk"),
+    ),
     "compare_scenarios": (
         compare_scenarios,
         risk_sql(f"""SELECT identifier_type, identifier,

@@ -51,6 +51,12 @@ def semantic_totals(spark, sf):
     return stable(answer, "avg_metric_value")
 
 
+def semantic_limit(spark, sf):
+    """How many rows come back when seven are asked for."""
+    few = query(MODEL, risk_rows(spark, sf), ["identifier"], facts=["metric_value"], limit=7)
+    return few.agg(F.count(F.lit(1)).alias("shown"))
+
+
 def draft_model(spark, sf):
     return profile_columns(risk_rows(spark, sf))
 
@@ -88,6 +94,10 @@ QUERIES = {
         semantic_rows,
         risk_sql("SELECT identifier_type, asset_class, scenario_name, metric_value FROM risk"),
     ),
+    "semantic_limit": (
+        semantic_limit,
+        risk_sql("SELECT count(*) AS shown FROM (SELECT identifier, metric_value FROM risk LIMIT 7)"),
+    ),
     "semantic_metrics": (
         semantic_metrics,
         risk_sql(f"""SELECT identifier_type, CAST(year(effective_start_date) AS INTEGER) AS start_year,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from landgate.functions.text import chunk_text, join_lines
 from landgate.functions.variant import json_fields, response_problems
-from landgate.sources.landing import land
+from landgate.sources.landing import land, list_landing
 from landgate.sources.text_lines import read_lines
 from landgate.workspace import workspace
 from workloads.rounding import stable, stable_sql
@@ -118,6 +118,25 @@ def landed_lines_split(spark, sf):
     )
 
 
+def whole_texts(spark, sf):
+    """Files read as one value each, told apart by their folder."""
+    path = workspace(spark, "texts")
+    docs = _table(spark, sf, "documents").withColumn("g", F.col("doc_id") % FILES)
+    docs = docs.repartition(FILES, "g").sortWithinPartitions("g", "doc_id").select("text", "g")
+    docs.write.partitionBy("g").text(path)
+    files = spark.read.text(path, wholetext=True)
+    return files.select(F.col("g").cast("bigint").alias("g"), F.md5("value").alias("md5"))
+
+
+def landing_status(spark, sf):
+    """Every landed file by its folder: its bytes and its status."""
+    path = workspace(spark, "sizes")
+    docs = _table(spark, sf, "documents").withColumn("g", F.col("doc_id") % FILES)
+    docs.repartition(FILES, "g").select("text", "g").write.partitionBy("g").text(path)
+    group = F.regexp_extract("path", "g=([0-9]+)", 1).cast("bigint").alias("g")
+    return list_landing(spark, path).select(group, "length", (F.col("length") > 0).alias("landed"))
+
+
 def landing_list(spark, sf):
     return _land_texts(spark, sf)[1]
 
@@ -176,6 +195,16 @@ QUERIES = {
             FROM (SELECT doc_id % 16 AS g, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS value,
                 unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)""",
     ),
+    "whole_texts": (
+        whole_texts,
+        """SELECT doc_id % 16 AS g, md5(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS md5
+            FROM documents GROUP BY 1""",
+    ),
+    "landing_status": (
+        landing_status,
+        """SELECT doc_id % 16 AS g, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS length, true AS landed
+            FROM documents GROUP BY 1""",
+    ),
     "landed_lines_split": (
         landed_lines_split,
         """SELECT CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS last,
