@@ -75,7 +75,7 @@ def instrument_profile(spark, sf):
 
 
 def instrument_question(spark, sf):
-    return R.instrument_question(risk_rows(spark, sf), "ISIN", "ID8", "RCP 8.5", "2050")
+    return R.instrument_question(risk_rows(spark, sf), "ISIN", "ID0", "RCP 8.5", "2050")
 
 
 def latest(spark, sf):
@@ -196,7 +196,7 @@ QUERIES = {
     ),
     "proxied_flag": (
         proxied_flag,
-        risk_sql("""SELECT is_proxied = 'Y' AS proxied_flag, asset_class, count(*) AS record_count
+        risk_sql("""SELECT coalesce(is_proxied = 'Y', false) AS proxied_flag, asset_class, count(*) AS record_count
             FROM risk GROUP BY 1, 2"""),
     ),
     "instrument_profile": (
@@ -207,7 +207,7 @@ QUERIES = {
     ),
     "instrument_question": (
         instrument_question,
-        risk_sql(f"""SELECT {ALL} FROM risk WHERE identifier_type = 'ISIN' AND identifier = 'ID8'
+        risk_sql(f"""SELECT {ALL} FROM risk WHERE identifier_type = 'ISIN' AND identifier = 'ID0'
             AND scenario_name = 'RCP 8.5' AND scenario_year = '2050' AND {CURRENT}"""),
     ),
     "latest": (
