@@ -42,7 +42,7 @@ END = 2
 #: Open windows that one task packs again at the end.
 LEFT_GROUP = 2048
 #: Distinct pieces of text between spaces whose ids a worker remembers for good, and for a while.
-REMEMBERED, RECENT = 900_000, 100_000
+REMEMBERED, RECENT = 300_000, 100_000
 #: Texts tokenized together.
 TEXTS = 256
 #: Letters that the tokenizer leaves as they are, or only makes small, and never splits.

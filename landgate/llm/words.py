@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text looked at together; a longer text is a slice of its own.
-SLICE = 1 << 21
+#: Bytes, and texts, looked at together; a longer text is a slice of its own.
+SLICE, ROWS = 1 << 19, 512
 BASE = np.uint64(0x9E3779B97F4A7C15)
 GRAM = np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,21 +71,21 @@ class Spans:
 
 
 def slices(column: pa.Array, size: int = SLICE) -> Iterator[Texts]:
-    """The texts of a string column in slices of about ``size`` bytes; null is empty."""
+    """The texts of a string column in slices of at most ROWS texts and about ``size`` bytes; null is
+    empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    n = len(column)
-    if not n:
-        return
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    i = 0
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
-        yield Texts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        i = j
+    for at in range(0, len(column), ROWS):
+        some = pc.fill_null(column.slice(at, ROWS).cast(pa.large_string()), "")
+        n = len(some)
+        _, offsets, data = some.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[some.offset : some.offset + n + 1]
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        i = 0
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
+            yield Texts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            i = j
 
 
 def spans(texts: Texts, marked: np.ndarray) -> Spans:
