@@ -17,8 +17,8 @@ components stay distributed. Only the ids of candidate documents are sent to all
 are few; more of them are joined instead.
 
 Defined results: without words or text n_shingles is 0 and the document is linked with nothing; with fewer
-words than a shingle the whole sequence is one; equal texts, and rows of one doc_id, are in one group; a
-null doc_id takes no part and gets a null component; an empty table gives no rows.
+words than a shingle the whole sequence is one; equal texts are in one group; rows that share a doc_id are
+documents of their own; a null doc_id takes no part and gets a null component; an empty table gives no rows.
 """
 
 from __future__ import annotations
