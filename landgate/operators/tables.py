@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landgate.schemas import TargetColumn
 
@@ -50,8 +51,19 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> int:
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> tuple[int, int]:
-    """Replace the table; returns rows written and rows then counted in the table."""
-    written = _save(df, name, "overwrite", path)
+    """Replace the table; returns rows written and rows then counted in the table.
+
+    With ``path`` the rows are written to a new folder below it, and only then the table is switched
+    over, so a failed write leaves the old contents. A managed table, without ``path``, is dropped
+    before its new files are written.
+    """
+    if path is None:
+        written = _save(df, name, "overwrite", None)
+    else:
+        where, seen = f"{path.rstrip('/')}/{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(where)
+        written = seen.get["n"]
+        publish_files(df.sparkSession, name, df.schema, where, replace=True)
     return written, df.sparkSession.table(name).count()
 
 
@@ -95,7 +107,7 @@ def publish_files(
 def clustered(
     df: DataFrame,
     by: Sequence[str],
-    spread: Sequence[str] = (),
+    spread: Sequence[str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Range-partition and sort by ``by``, so that files cover narrow value ranges when written.
@@ -103,8 +115,13 @@ def clustered(
     Rows equal in all of ``by`` would land in one task, and open versions share most of those
     values. ``spread`` names further columns that tell such rows apart; as trailing range keys they
     cut a group, even one holding most of the table, into many ranges. Columns that lookups ask
-    for, the identifier first, serve best.
+    for, the identifier first, serve best; if none are named, all further plain columns serve. The
+    input runs twice, once to sample the ranges.
     """
+    if spread is None:
+        plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        variants = [f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
+        spread = [c for c in plain if c not in by and c not in variants]
     keys = [*by, *spread]
     count = () if partitions is None else (partitions,)
     return df.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)

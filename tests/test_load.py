@@ -1,5 +1,6 @@
 import datetime
 import decimal
+import json
 import os
 import uuid
 
@@ -158,10 +159,35 @@ def test_clustering_cuts_a_hot_group(spark):
     def sizes(df):
         return sorted(r[1] for r in df.groupBy(F.spark_partition_id()).count().collect())
 
-    hot = sizes(clustered(rows, RISK_CLUSTERING, partitions=8))
-    cut = sizes(clustered(rows, RISK_CLUSTERING, ["identifier"], partitions=8))
-    assert max(hot) > 15000
-    assert max(cut) < 6000 and len(cut) == 8 and sum(cut) == 20000
+    assert max(sizes(clustered(rows, RISK_CLUSTERING, (), partitions=8))) > 15000
+    for spread in (["identifier"], None):
+        cut = sizes(clustered(rows, RISK_CLUSTERING, spread, partitions=8))
+        assert max(cut) < 6000 and len(cut) == 8 and sum(cut) == 20000
+
+
+def test_a_failed_overwrite_leaves_the_table(spark, folder):
+    table = f"kept_{os.path.basename(folder).replace('-', '_')}"
+    assert overwrite_table(spark.range(7), table, f"{folder}/t") == (7, 7)
+    bad = spark.range(9).withColumn("id", F.expr("if(id = 5, raise_error('no'), id)").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(bad, table, f"{folder}/t")
+    assert spark.table(table).count() == 7
+    assert overwrite_table(spark.range(3), table, f"{folder}/t") == (3, 3)
+
+
+def test_a_load_counts_what_it_nulls_and_keeps_rejects(spark, folder):
+    with open(f"{folder}/a.json", "w") as f:
+        for i, day in enumerate(["2026-01-02", "2026-13-45", None, "x"]):
+            f.write(json.dumps({"record_id": str(i), "trade_date": day, "price": 1e15 if i == 0 else 1.0}) + "\n")
+        f.write("{broken\n")
+    tag = os.path.basename(folder).replace("-", "_")
+    report = run_load(
+        spark, LoadConfig(f"{folder}/a.json", f"nulled_{tag}", invalid_table=f"rejects_{tag}")
+    )
+    assert report.nulled == {"TRADE_DATE": 2, "QUANTITY": 0, "PRICE": 1}
+    assert {r.field: r.nulls for r in report.audit.select(F.inline("nulled")).collect()} == report.nulled
+    assert (report.total, report.inserted) == (5, 4)
+    assert [r[0] for r in spark.table(f"rejects_{tag}").select("_corrupt_record").collect()] == ["{broken"]
 
 
 def test_json_leaves(spark):
