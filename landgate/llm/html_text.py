@@ -1,11 +1,14 @@
 """The main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element. Lines of menus, headers, footers, sidebars, notices,
-adverts, forms, scripts and comments, known by their elements' names, roles and classes, have no length.
-If the page marks its article, neither have the lines outside; else words inside links do not count.
-Lengths are summed over sliding windows of lines. The text surges where a window's sum rises from
-nothing (without a marked article: over a threshold) and dives where it falls back; lines with a
-length between the two points are the text.
+adverts, forms, scripts and comments, known by their elements' names, roles and classes, are left out.
+If the page marks its article, so are the lines outside; else words inside links do not count for a line's
+length, nor does a line of punctuation alone.
+Lengths are summed over sliding windows of lines. The text surges where the sums rise from nothing to go over
+a threshold before they fall back (over nothing, if no sum does and in a marked article), and dives where they
+fall back to nothing. Every line from the first to the last one with a length between the two points is
+the text, also short lines and lines of links; a page may have several such stretches. So a page without a
+marked article loses whole windows of links, and stretches of short lines that such windows part from the text.
 
 Defined results: null or empty html, and pages without such lines, give the empty string; unclosed elements
 end with the page, but an unclosed element to be left out ends at the next block; character references are
@@ -24,7 +27,7 @@ from landgate.llm.batches import measured
 from landgate.llm.tables import table
 
 WINDOW = 3
-#: Characters outside links that a window holds in the text of a page without a marked article.
+#: Characters outside links that a window holds somewhere in the text of a page without a marked article.
 SURGE = 120
 ARTICLE = frozenset(("article", "main"))
 BLOCKS = frozenset(
@@ -68,23 +71,26 @@ def left_out(name: str, attributes: str, in_article: bool) -> bool:
     return name == "article" and not CLASSES.isdisjoint(re.split(r"[^a-z]+", attributes.lower())) and in_article
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside the article) of every block that is not left out."""
-    lines: list[tuple[str, int, bool]] = []
+def plain(parts: list[str]) -> str:
+    text = "".join(parts)
+    return " ".join((html.unescape(text) if "&" in text else text).split())
+
+
+def lines_of(page: str) -> list[tuple[str, str, bool]]:
+    """(text, text outside links, inside the article) of every block that is not left out."""
+    lines: list[tuple[str, str, bool]] = []
     parts: list[str] = []
-    linked = 0
+    free: list[str] = []
     out: list[str] = []  # names of the open elements that are left out, innermost last
     article = link = 0
 
     def end_line():
-        nonlocal linked
         if parts:
-            text = "".join(parts)
-            text = " ".join((html.unescape(text) if "&" in text else text).split())
+            text = plain(parts)
             if text:
-                lines.append((text, max(0, len(text) - linked), article > 0))
+                lines.append((text, text if len(free) == len(parts) else plain(free), article > 0))
             parts.clear()
-        linked = 0
+            free.clear()
 
     at = 0
     n = len(page)
@@ -94,8 +100,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if upto > at and not out:
             text = page[at:upto]
             parts.append(text)
-            if link:
-                linked += len(text)
+            if not link:
+                free.append(text)
         if not tag:
             break
         at = tag.end()
@@ -109,7 +115,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 at = ended.end() if ended else at
             continue
         if name == "br":
-            parts.append(" ") if not out else None
+            if not out:
+                parts.append(" ")
+                free.append(" ")
             continue
         if name in VOID and name != "hr":
             continue
@@ -145,24 +153,37 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
+def stretches(lengths: list[int], threshold: int) -> list[tuple[int, int]]:
+    """(first, last) line of every stretch from a surge to the dive whose windows reach ``threshold``."""
+    half = WINDOW // 2
+    n = len(lengths)
+    found: list[tuple[int, int]] = []
+    first = last = None
+    peak = 0
+    for i in range(n + 1):
+        own = sum(lengths[max(0, i - half) : i + half + 1]) if i < n else 0
+        if own:
+            peak = max(peak, own)
+            if lengths[i]:
+                first, last = i if first is None else first, i
+            continue
+        if peak >= threshold:
+            found.append((first, last))
+        first, peak = None, 0
+    return found
+
+
 def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
-    marked = any(inside for _, _, inside in lines)
-    if marked:
-        lengths = [len(text) if inside else 0 for text, _, inside in lines]
-        threshold = 1
+    if any(inside for _, _, inside in lines):
+        lines = [line for line in lines if line[2]]
+        found = stretches([len(text) for text, _, _ in lines], 1)
     else:
-        lengths = [free for _, free, _ in lines]
-        threshold = SURGE
-    half = WINDOW // 2
-    total = [0]
-    for length in lengths:
-        total.append(total[-1] + length)
-    n = len(lines)
-    full = [total[min(n, i + half + 1)] - total[max(0, i - half)] >= threshold for i in range(n)]
-    if not marked and not any(full):
-        full = [total[n] > 0] * n
-    return "\n".join(text for (text, _, _), inside, length in zip(lines, full, lengths, strict=True) if inside and length)
+        lengths = [len(free) if any(map(str.isalnum, free)) else 0 for _, free, _ in lines]
+        if not any(lengths):
+            lengths = [len(free) for _, free, _ in lines]
+        found = stretches(lengths, SURGE) or stretches(lengths, 1)
+    return "\n".join(text for first, last in found for text, _, _ in lines[first : last + 1])
 
 
 def measure(column: pa.Array) -> dict:

@@ -257,6 +257,19 @@ def test_pages_without_a_marked_article():
     assert html_text.main_text("just text") == "just text"
 
 
+def test_short_and_linked_blocks_between_surge_and_dive_stay():
+    body = "some words of the story that go on for quite a while and then end. " * 4
+    middle = ["First item", "Second", "Third", "Fourth"]
+    items = "".join(f"<li>{m}</li>" for m in middle)
+    page = f"<div><a href=x>Home</a></div><div><a href=y>About</a></div><h1>Title</h1><div>By me</div><p>{body}</p><ul>{items}</ul>"
+    page += f"<p><a href=z>See the long report</a></p><p>{body}</p><p>Thanks.</p><p>Good night.</p><p>The end.</p>"
+    page += "".join(f"<div><a href={i}>Menu {i}</a></div>" for i in range(5)) + "<div>Imprint</div>"
+    want = ["Title", "By me", body.strip(), *middle, "See the long report", body.strip(), "Thanks.", "Good night.", "The end."]
+    assert html_text.main_text(page).split("\n") == want
+    assert html_text.main_text("<p>One<p><a href=x>two &amp; more</a><p>three<p><a href=y>Next</a>") == "One\ntwo & more\nthree"
+    assert html_text.main_text("<p>ab <a href=x>    cd    </a>") == "ab cd"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</div></p>", "<nav>x", "<div class=ad>x"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "<", "<p", "x")
