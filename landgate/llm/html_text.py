@@ -1,7 +1,9 @@
 """The main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element. Lines of menus, headers, footers, sidebars, notices,
-adverts, forms, scripts and comments, known by their elements' names, roles and classes, are left out.
+adverts, forms, scripts and comments, known by their elements' names, roles and classes, are left out. Classes
+and ids count as wholes; of a generic word in them, such as widget or related, links decide: in an article such
+an element of several lines goes if most of its characters are in links and few are not, elsewhere the windows tell.
 If the page marks its article, so are the lines outside; else words inside links do not count for a line's
 length, nor does a line of punctuation alone.
 Lengths are summed over sliding windows of lines. The text surges where the sums rise from nothing to go over
@@ -39,14 +41,33 @@ BLOCKS = frozenset(
 RAW = frozenset("script style noscript template svg math iframe object textarea select".split())
 LEFT_OUT = frozenset("head nav footer aside form menu dialog button label title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: Words of a class or id that mark what is no article.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Whole tokens of a class, or whole ids, that mark what is no article; "_" counts as "-".
 CLASSES = frozenset(
-    "ad ads adv advert advertisement advertising banner sponsor sponsored promo promotion popup modal "
-    "sidebar side aside widget related recommended nav navbar navigation menu submenu breadcrumb "
-    "breadcrumbs pagination pager toc footer header masthead topbar notice notices cookie cookies consent "
-    "gdpr alert disclaimer comment comments discussion disqus reply replies respond share sharing social "
-    "newsletter subscribe subscription signup login form search skip copyright legal".split()
+    "ad ads adv advert adverts advertisement advertisements advertising adsbygoogle ad-banner ad-block ad-box "
+    "ad-container ad-label ad-slot ad-space ad-unit ad-wrapper ads-container banner-ad google-ad google-ads "
+    "sponsor sponsors sponsored sponsored-content promo popup modal modal-dialog "
+    "sidebar side-bar left-sidebar right-sidebar sidebar-left sidebar-right sidebar-widget widget-area "
+    "nav navbar nav-bar nav-menu nav-links navigation main-nav main-navigation site-nav site-navigation "
+    "page-navigation post-navigation menu submenu main-menu side-menu breadcrumb breadcrumbs pagination pager "
+    "footer page-footer site-footer site-header masthead topbar top-bar "
+    "cookie cookies cookie-banner cookie-bar cookie-consent cookie-law cookie-message cookie-notice "
+    "cookie-popup consent-banner gdpr gdpr-banner "
+    "comments comments-area comments-section comment-section comment-list comment-form comment-body "
+    "comment-respond disqus disqus-thread reply-form "
+    "social-icons social-links social-media social-share share-bar share-buttons share-links sharing "
+    "sharing-buttons newsletter newsletter-form newsletter-signup subscribe-form signup-form login-form "
+    "search-bar search-box search-form skip-link related-articles related-links related-posts".split()
 )
+#: Ids of sections in an article that are no names of its own sections.
+SECTION_IDS = frozenset(("comments", "disqus-thread"))
+#: Words in a class or id that mark what is no article only if it is a list of links.
+WORDS = CLASSES | frozenset(
+    "banner promotion side aside widget related recommended toc notice notices consent alert disclaimer "
+    "comment discussion reply replies respond share social subscribe subscription signup login form search "
+    "skip copyright legal".split()
+)
+CONTAINERS = frozenset("article div dl ol section table ul".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
@@ -56,19 +77,33 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
+def names(name: str, attributes: str, in_article: bool) -> str:
+    """The classes and ids by which an element is judged; those of headings and sections may be mere anchors."""
+    found = []
+    for kind, *values in ATTRIBUTE.findall(attributes):
+        kind, value = kind.lower(), "".join(values).lower().replace("_", "-")
+        anchor = kind == "id" and in_article and (name in HEADINGS or name == "section" and value not in SECTION_IDS)
+        if kind in ("class", "id") and not anchor:
+            found.append(value)
+    return " ".join(found)
+
+
 def left_out(name: str, attributes: str, in_article: bool) -> bool:
     if name in LEFT_OUT or (name == "header" and not in_article):
         return True
     if not attributes:
         return False
     for kind, *values in ATTRIBUTE.findall(attributes):
-        kind, value = kind.lower(), "".join(values).lower()
-        if kind == "role" and value in ROLES or kind == "hidden":
+        if kind.lower() == "role" and "".join(values).lower() in ROLES or kind.lower() == "hidden":
             return True
-        if kind in ("class", "id") and name not in ("html", "body", "article", "main"):
-            if not CLASSES.isdisjoint(re.split(r"[\s_\-]+", value)):
-                return True
-    return name == "article" and not CLASSES.isdisjoint(re.split(r"[^a-z]+", attributes.lower())) and in_article
+    if name in ("html", "body", "main") or name == "article" and not in_article:
+        return False
+    return not CLASSES.isdisjoint(names(name, attributes, in_article).split())
+
+
+def may_be_links(name: str, attributes: str) -> bool:
+    """Whether links decide on an element inside an article."""
+    return bool(attributes) and not WORDS.isdisjoint(re.split(r"[\s\-]+", names(name, attributes, True)))
 
 
 def plain(parts: list[str]) -> str:
@@ -83,12 +118,18 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
     free: list[str] = []
     out: list[str] = []  # names of the open elements that are left out, innermost last
     article = link = 0
+    #: Of open containers: None, or the lines, characters and characters outside links before them.
+    opened: dict[str, list[tuple[int, int, int] | None]] = {name: [] for name in CONTAINERS}
+    held = held_free = 0
 
     def end_line():
+        nonlocal held, held_free
         if parts:
             text = plain(parts)
             if text:
                 lines.append((text, text if len(free) == len(parts) else plain(free), article > 0))
+                held += len(text)
+                held_free += len(lines[-1][1])
             parts.clear()
             free.clear()
 
@@ -131,6 +172,12 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
                 out.append(name)
             continue
         if closing:
+            before = opened[name].pop() if opened.get(name) else None
+            if before:
+                n_lines, own, own_free = len(lines) - before[0], held - before[1], held_free - before[2]
+                if n_lines > 1 and own_free < SURGE and 2 * own_free < own:
+                    del lines[before[0] :]
+                    _, held, held_free = before
             if name in ARTICLE:
                 article = max(0, article - 1)
             elif name == "a":
@@ -145,6 +192,9 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
                     following = TOKEN.search(page, following.end())
                 at = following.start() if following else n
             continue
+        if name in CONTAINERS:
+            judged = article > 0 and may_be_links(name, tag[3] or "")
+            opened[name].append((len(lines), held, held_free) if judged else None)
         if name in ARTICLE:
             article += 1
         elif name == "a":

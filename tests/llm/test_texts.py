@@ -270,6 +270,38 @@ def test_short_and_linked_blocks_between_surge_and_dive_stay():
     assert html_text.main_text("<p>ab <a href=x>    cd    </a>") == "ab cd"
 
 
+BODY = "some words of the story that go on for quite a while and then end."
+
+
+@pytest.mark.parametrize("mark", ["article", "div"])
+@pytest.mark.parametrize(
+    "element",
+    [
+        'div class="elementor-widget-container"', 'div class="article-header"', 'section id="related-work"',
+        'h2 id="legal-notice"', 'h2 id="form-validation"', 'p class="search-result"', 'div class="has-sidebar"',
+        'span class="form"', 'div class="header"', 'div id="side_story"',
+    ],
+)
+def test_words_of_a_name_take_no_text_away(mark, element):
+    page = f"<{mark}><p>{BODY * 3}</p><{element}>Kept {BODY}</{element.split()[0]}><p>{BODY * 3}</p></{mark}>"
+    assert f"Kept {BODY}" in html_text.main_text(page)
+
+
+def test_names_and_lists_of_links_take_lines_away():
+    links = "".join(f"<li><a href={i}>Other story {i}</a></li>" for i in range(4))
+    for element in ('div class="x ad"', 'div class="cookie_notice"', 'section class="comments"', 'p class="promo"'):
+        page = f"<article><p>{BODY}</p><{element}>Gone</{element.split()[0]}><p>End.</article>"
+        assert html_text.main_text(page) == f"{BODY}\nEnd."
+    for element in ('div class="post-related-box"', 'section class="widget"', 'ul class="share-list"'):
+        page = f"<article><p>{BODY}</p><{element}><div>Also</div>{links}</{element.split()[0]}><p>End.</article>"
+        assert html_text.main_text(page) == f"{BODY}\nEnd."
+    for element in ('section id="legal"', 'h2 id="comments"', 'section id="search"'):
+        page = f"<article><{element}>Kept</{element.split()[0]}><p>{BODY}</article>"
+        assert html_text.main_text(page) == f"Kept\n{BODY}"
+    headline = f'<article><div class="widget-header"><h1><a href=x>Title</a></h1></div><p>{BODY}</article>'
+    assert html_text.main_text(headline) == f"Title\n{BODY}"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</div></p>", "<nav>x", "<div class=ad>x"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "<", "<p", "x")
