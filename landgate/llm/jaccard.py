@@ -250,8 +250,9 @@ def large_cluster_groups(large: DataFrame, found: DataFrame) -> DataFrame:
     return groups if across.isEmpty() else components(found.union(across), "jaccard-groups")
 
 
-def jaccard_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, node, first_node) for every row of ``docs`` (doc_id, text): also the
+    name of its set, and that of the set by which its group has the component_id."""
     docs = docs.select("doc_id", "text")
     found = stored(keyed(docs), "jaccard-keys")
     grouped = stored(clusters(found), "jaccard-clusters")
@@ -263,33 +264,60 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     nodes = found.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = nodes.groupBy("node").agg(F.min("doc_id").alias("first"))
     nodes = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    firsts = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = nodes.join(firsts, "component").select("node", "component_id")
+    firsts = nodes.groupBy("component").agg(F.min(F.struct("first", "node")).alias("_first"))
+    firsts = firsts.select("component", F.col("_first.first").alias("component_id"), F.col("_first.node").alias("first_node"))
+    named = nodes.join(firsts, "component").select("node", "component_id", "first_node")
     rows = found.select("doc_id", "n", "node").join(named, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "node", "first_node")
+
+
+def jaccard_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
+    return linked_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def with_nodes(docs: DataFrame) -> DataFrame:
+    """(doc_id, _hash, _row, node): the rows of ``docs`` with the names of their sets."""
+
+    def measure(column: pa.Array) -> dict:
+        names: list = []
+        for numbers, first in shingle_sets(column):
+            sized = zip(node_names(numbers, first).tolist(), np.diff(first), strict=True)
+            names += [name if size else None for name, size in sized]
+        return {"node": names}
+
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    rows = docs.select("doc_id", F.xxhash64(*docs.columns).alias("_hash"), row, "text")
+    return measured(rows, measure, "node long", keep=("doc_id", "_hash", "_row"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those whose group holds a smaller doc_id.
+    """One row of every group of ``docs``, of the smallest doc_id.
 
-    Of rows that share a doc_id the one with the smallest hash of all its columns stays. Rows without a
-    doc_id stay, as they are in no group.
+    Rows that share a doc_id are judged each by its own text; of those left in one group the set with the
+    smallest name stays, and of its rows the one with the smallest hash of all columns. Rows without a
+    doc_id or without words stay, as they are in no group.
     """
-    found = stored(jaccard_groups(docs).select("doc_id", "component_id"), "jaccard-kept")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    again = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    stays = F.expr("node IS NULL OR (doc_id = component_id AND node = first_node)").alias("stays")
+    found = linked_rows(docs).filter("doc_id IS NOT NULL").select("doc_id", "node", stays)
+    found = stored(found, "jaccard-kept")
+    gone = found.filter("NOT stays").select("doc_id").distinct()
+    again = stored(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "jaccard-again")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if again.isEmpty():
+    n_again = again.count()
+    if not n_again:
         return left
-    if again.count() <= BROADCAST_IDS:
+    if n_again <= BROADCAST_IDS:
         again = F.broadcast(again)
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
-    rows = left.select("doc_id", F.xxhash64(*docs.columns).alias("_hash"), row)
-    firsts = rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("_row", "_hash").alias("_row"))
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(firsts.select("_row.*"))
+    out = found.filter("NOT stays").join(again, "doc_id", "left_semi").select("doc_id", "node").distinct()
+    rows = with_nodes(docs.join(again, "doc_id", "left_semi").select(*docs.columns))
+    rows = rows.join(out, ["doc_id", "node"], "left_anti")
+    firsts = rows.filter("node IS NOT NULL").groupBy("doc_id", "node").agg(F.min_by("_row", "_hash").alias("_row"))
+    repeated = rows.filter("node IS NULL").select("_row.*").union(firsts.select("_row.*"))
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(repeated)
 
 
 def op6_signature_tree(spark, sf_dir):

@@ -157,6 +157,17 @@ def test_one_of_each_group_stays(spark):
     assert ids == [None, None, 1, 4, 5, 6, 7, 8, 9, 11, 12]
 
 
+def test_one_of_each_group_stays_when_ids_repeat(spark):
+    x, y, z, w = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyzw")
+    rows = [(3, x), (5, x + " more"), (5, y), (8, y + " more"), (20, z), (20, w), (20, z + " more"), (20, w), (30, w)]
+    rows += [(21, None), (21, ""), (21, "alone"), (None, x)]
+    left = [(r.doc_id, r.text) for r in jaccard.one_of_each(documents(spark, rows)).collect()]
+    assert sorted(t for i, t in left if i == 20 and t.startswith("z")) in ([z], [z + " more"])
+    rest = [(i, t) for i, t in left if not (i == 20 and t.startswith("z"))]
+    want = [(3, x), (5, y), (20, w), (21, None), (21, ""), (21, "alone"), (None, x)]
+    assert sorted(rest, key=str) == sorted(want, key=str)
+
+
 # --- URLs
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("bad.org", "/", "block"))
