@@ -172,7 +172,8 @@ class Scanner:
     def _chains(self, runs: list[tuple[int, int, int]], length: int) -> list[tuple[int, int, int]]:
         """runs (text start, template start, words), by text start: chains (start, end, covered words).
 
-        A run continues the chain with the nearest end before it in text and template, within MAX_GAP.
+        A run continues the chain with the nearest end before it in text and template, within MAX_GAP. Words
+        at its start that the chain has already, in text or template, are left to the chain.
         """
         wanted = MIN_COVERED if length > SHORT else 1
         open_: deque[list[int]] = deque()
@@ -180,11 +181,16 @@ class Scanner:
         for start, at, n in runs:
             while open_ and start - open_[0][1] > MAX_GAP:
                 done.append(open_.popleft())
-            fits = [c for c in open_ if 0 <= start - c[1] <= MAX_GAP and 0 <= at - c[2] <= MAX_GAP]
+            fits = []
+            for chain in open_:
+                shared = max(0, chain[1] - start, chain[2] - at)
+                gaps = start + shared - chain[1], at + shared - chain[2]
+                if shared < n and max(gaps) <= MAX_GAP:
+                    fits.append((sum(gaps) + shared, shared, chain))
             if fits:
-                chain = min(fits, key=lambda c: (start - c[1] + at - c[2]))
+                _, shared, chain = min(fits, key=lambda f: f[0])
                 open_.remove(chain)
-                chain[1:] = [start + n, at + n, chain[3] + n]
+                chain[1:] = [start + n, at + n, chain[3] + n - shared]
             else:
                 chain = [start, start + n, at + n, n]
             open_.append(chain)

@@ -99,6 +99,15 @@ def test_licence_spans():
     assert 0.75 <= span["covered"] < 1
 
 
+@pytest.mark.parametrize("k", range(1, 6))
+def test_licence_spans_without_a_short_phrase(k):
+    mit = licenses.TEMPLATES[0][1].split()
+    texts = [" ".join([*mit[:i], *mit[i + k :]]) for i in range(len(mit) - k + 1)]
+    for text, own in zip(texts, licenses.Scanner().measure(pa.array(texts))["spans"], strict=True):
+        assert [s["label"] for s in own] == ["mit"], text
+        assert own[0]["covered"] <= (len(mit) - k) / len(mit) + 1e-9
+
+
 def test_licence_query(spark):
     rows = REGISTRY["op1_suffix_automaton"][0](spark, SF).collect()
     text = dict(texts_of(spark, SF))
