@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,3 +45,17 @@ def kept_rows(df: DataFrame, verdict: Callable[[pa.Array], list], column: str =
             yield batch.filter(pa.array(verdict(batch.column(place)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def in_groups(column: pa.Array, texts: int = 256, characters: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of a column, null as empty, in lists of bounded size; a longer text is alone in its list."""
+    group, size = [], 0
+    for text in column:
+        text = text.as_py() or ""
+        if group and (size + len(text) > characters or len(group) >= texts):
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group

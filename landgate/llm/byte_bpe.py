@@ -7,7 +7,7 @@ A text is cut into pre-tokens by the vocabulary's pattern. Two tiers give a pre-
 2. For the others a heap holds the adjacent pairs of a linked list of byte runs; the pair whose joined
    bytes have the lowest rank, the leftmost of equal ones, is joined until no pair is a token.
 
-Distinct pieces of text between single spaces are encoded once per worker and remembered up to a bound.
+Distinct pieces of text between single spaces are encoded once per worker and remembered up to a bound of bytes.
 
 Defined results: null and empty texts have no ids; every byte is a token, so all bytes of a text come back
 from its ids; texts of any length are encoded whole; equal rows get equal results.
@@ -28,14 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from landgate.llm import words as W
-from landgate.llm.batches import measured
+from landgate.llm.batches import in_groups, measured
 from landgate.llm.memory import Memory
 from landgate.llm.tables import table
 
-#: Pieces of text, and as many pre-tokens, that a worker remembers for good, and for a while.
-REMEMBERED, RECENT = 500_000, 100_000
-#: Texts encoded together.
-TEXTS = 256
+#: Bytes that a worker remembers for good, and for a while; of pieces, and as much of pre-tokens.
+REMEMBERED, RECENT = 120 << 20, 24 << 20
 BUCKET = 4
 #: Displacements tried at once while the hash is built.
 TRIED = 512
@@ -190,8 +188,8 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, keep: tuple[str, ...] = (
     """``keep`` and (ids, decoded): the ids of every text and the text that they give back."""
 
     def run(column: pa.Array) -> dict:
-        own, texts = codec(ranks, pattern), column.to_pylist()
-        ids = [x for i in range(0, len(texts), TEXTS) for x in own.encode([t or "" for t in texts[i : i + TEXTS]])]
+        own = codec(ranks, pattern)
+        ids = [x for some in in_groups(column) for x in own.encode(some)]
         return {
             "ids": [np.frombuffer(x, "<u4").astype(np.int32) for x in ids],
             "decoded": [own.decode(x) for x in ids],
@@ -205,9 +203,8 @@ def digests(docs: DataFrame, ranks: str, pattern: str, keep: tuple[str, ...] = (
 
     def run(column: pa.Array) -> dict:
         own, out = codec(ranks, pattern), {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for i in range(0, len(column), TEXTS):
-            texts = [t or "" for t in column.slice(i, TEXTS).to_pylist()]
-            for ids in own.encode(texts):
+        for some in in_groups(column):
+            for ids in own.encode(some):
                 out["n_tokens"].append(len(ids) // 4)
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(own.decode(ids)).hexdigest())

@@ -21,6 +21,7 @@ import functools
 import itertools
 import re
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -33,6 +34,7 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from landgate.llm.batches import in_groups
 from landgate.llm.memory import Memory
 from landgate.llm.tables import stored, table
 
@@ -41,10 +43,8 @@ OPEN_WINDOWS = 64
 END = 2
 #: Open windows that one task packs again at the end.
 LEFT_GROUP = 2048
-#: Distinct pieces of text between spaces whose ids a worker remembers for good, and for a while.
-REMEMBERED, RECENT = 300_000, 100_000
-#: Texts tokenized together.
-TEXTS = 256
+#: Bytes of pieces of text between spaces, and their ids, that a worker remembers for good, and for a while.
+REMEMBERED, RECENT = 120 << 20, 16 << 20
 #: Letters that the tokenizer leaves as they are, or only makes small, and never splits.
 LATIN = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 PLAIN = re.compile(f"([a-zA-Z{LATIN}]*)([.,!]*)")
@@ -55,14 +55,14 @@ class Encoder(Memory):
 
     Such a tokenizer (here: one that normalises character by character and splits at white space before
     it merges) gives a text the ids of its pieces between spaces one after the other, so every distinct
-    piece is encoded once and remembered, up to a bound. Of a piece of plain letters with points or commas
+    piece is encoded once and remembered, up to a bound of bytes. Strings of added tokens in a text are those
+    tokens, as in the library's default. Of a piece of plain letters with points or commas
     behind, the letters go straight to the tokenizer's merges, as it would not change or split them.
     """
 
     def __init__(self, path: str):
         super().__init__(REMEMBERED, RECENT)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in LATIN}
@@ -72,10 +72,10 @@ class Encoder(Memory):
         if plain and plain[1]:
             letters = plain[1].lower()
             shown = letters if letters.isascii() else letters.translate(self.shown)
-            ids = np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
             ids += self[plain[2]] if plain[2] else b""
         else:
-            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
         self.add(piece, ids)
         return ids
 
@@ -102,11 +102,10 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end: int =
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                ids, texts = (c.slice(at, TEXTS).to_pylist() for c in batch.columns)
+            ids = iter(batch.column(0).to_pylist())
+            for texts in in_groups(batch.column(1)):
                 rows = []
-                encoded = encoder(tokenizer).encode([text or "" for text in texts])
-                for doc_id, own in zip(ids, encoded, strict=True):
+                for own, doc_id in zip(encoder(tokenizer).encode(texts), ids, strict=False):
                     own += tail
                     for k in range(0, len(own), width):
                         cut = own[k : k + width]

@@ -246,7 +246,6 @@ def check_packing(rows, texts, sequence):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = collections.Counter()
     for i, text in texts:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -273,6 +272,11 @@ def test_packing_of_odd_rows(spark):
     assert packing.packed(documents(spark, []), TOKENIZER).count() == 0
 
 
+def test_packing_of_added_tokens_and_unspaced_texts(spark):
+    rows = [(1, "x <|endoftext|> y"), (2, "x<|endoftext|>y <|ENDOFTEXT|>, <|startoftext|>"), (3, "ab1é中" * 5000), (4, "a" * 9000)]
+    check_packing(packing.packed(documents(spark, rows), TOKENIZER).collect(), rows, 4096)
+
+
 def test_packing_query(spark):
     texts = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     rows = REGISTRY["op9_bounded_packing"][0](spark, SF).collect()

@@ -234,6 +234,15 @@ def test_bpe_of_any_text(tiktoken_ids, text):
     assert codec.decode(ids) == text.encode()
 
 
+def test_bpe_of_unspaced_and_no_texts(spark, tiktoken_ids):
+    text = "ab1é中.x" * 3000
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    before = codec.known_pieces.lasting
+    assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == tiktoken_ids(text)
+    assert codec.known_pieces.lasting == before
+    assert byte_bpe.digests(documents(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_perfect_hash_is_perfect():
     keys = [f"key{i}".encode() for i in range(3000)]
     table = byte_bpe.PerfectHash(keys)
