@@ -8,6 +8,7 @@ from landgate.llm import (
     licenses,
     packing,
     quality,
+    rank_array_bpe,
     sharding,
     topk,
     urls,
@@ -24,5 +25,6 @@ MODULES = (
     sharding,
     packing,
     byte_bpe,
+    rank_array_bpe,
 )
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
