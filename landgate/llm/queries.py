@@ -3,12 +3,14 @@
 from landgate.llm import (
     byte_bpe,
     html_text,
+    importance,
     jaccard,
     language,
     licenses,
     packing,
     quality,
     rank_array_bpe,
+    ranked_search,
     sharding,
     topk,
     urls,
@@ -26,5 +28,7 @@ MODULES = (
     packing,
     byte_bpe,
     rank_array_bpe,
+    ranked_search,
+    importance,
 )
 REGISTRY = {name: entry for module in MODULES for name, entry in module.QUERIES.items()}
