@@ -15,17 +15,22 @@ splits as it reads them, and only records that cross a border of splits are put
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landgate.sources.blocks import stored
 
 # States of splits are sent to all tasks up to this many splits; beyond it pieces meet them in a join.
 MAX_SENT_SPLITS = 1 << 20
+#: Characters between two beginnings of records that one task puts together, in a file with a fault.
+MAX_SEGMENT = 64 << 20
+#: Files with a fault that are named in a filter; more are found by a join.
+MAX_NAMED_FILES = 1000
 
 _ESCAPE = re.compile(r"\\.", re.S)
 _MARK = re.compile(r'\\.|["}]', re.S)
@@ -33,7 +38,52 @@ _STRUCTURE = re.compile(r"[\s,\[\]]*")
 # Texts between records: quoted ones whole, others up to a comma, bracket or quote.
 _OTHER = re.compile(r'"(?:[^"\\]|\\.)*"?|[^\s,\[\]"](?:[^,\[\]"]*[^\s,\[\]"])?', re.S)
 
-RECORD, FRAGMENT, OTHER, BRACKETS = 0, 1, 2, 3
+_BLANK = " \t\r\n"
+_FIRST_KEY = re.compile(r'\s*("(?:[^"\\]|\\.)*")\s*:', re.S)
+
+RECORD, FRAGMENT, OTHER, BRACKETS, FAULT, NESTED_LINES, NESTED_KEYS = range(7)
+
+
+def _tail(text: str, first: bool) -> tuple[int, str]:
+    """What stands before the "{" behind a piece: how far it is indented if it is the first sign of its line,
+    else -1, and the last sign: "^" none yet, "{" none in the piece, ":[" the bracket of a key's array."""
+    bare = text.rstrip(_BLANK)
+    gap = text[len(bare) :]
+    line = gap.rfind("\n")
+    indent = len(gap) - line - 1 if line >= 0 else len(gap) if first and not bare else -1
+    if not bare:
+        return indent, "^" if first else "{"
+    if bare[-1] == "[" and bare.rstrip("[" + _BLANK).endswith(":"):
+        return indent, ":["
+    return indent, bare[-1]
+
+
+def _first_key(text: str) -> str | None:
+    found = _FIRST_KEY.match(text)
+    return found[1] if found else None
+
+
+class Beginnings:
+    """Tells the beginnings of records in a stream of pieces by what stands next to a "{"."""
+
+    def __init__(self, indent: int, key: str | None, tail: tuple[int, str] = (-1, "^"), nested: tuple = ()):
+        self.indent, self.key, self.before = indent, key, tail
+        self.by_line, self.by_key = NESTED_LINES not in nested, NESTED_KEYS not in nested
+        self.nested = set(nested)
+
+    def piece(self, text: str, opened: bool, first: bool) -> bool:
+        """Whether a record begins at the "{" before ``text``."""
+        begins = False
+        if opened:
+            indent, sign = self.before
+            line = indent >= 0 and indent == self.indent
+            key = self.key is not None and sign in ("^", "[", ",", "}", ":[") and _first_key(text) == self.key
+            if sign in (":", ":["):
+                self.nested |= ({NESTED_LINES} if line else set()) | ({NESTED_KEYS} if key else set())
+            else:
+                begins = (line and self.by_line) or (key and self.by_key)
+        self.before = _tail(text, first)
+        return begins
 
 
 def _closings(text: str) -> tuple[int, int, int]:
@@ -104,13 +154,68 @@ class Cutter:
             yield from self._others()
 
 
-def cut_text(text: str) -> list[str]:
-    """The records, and other texts, of one document held as a value."""
-    cutter, out = Cutter(), []
+def cut_text(text: str) -> list[tuple[bool, str]]:
+    """(whether it is a record, text) of all that one document held as a value consists of."""
+    pieces = text.split("{")
+    tails = [_tail(piece, i == 0) for i, piece in enumerate(pieces[:-1])]
+    indent = min((i for i, _ in tails if i >= 0), default=-1)
+    marks = Beginnings(indent, next(filter(None, map(_first_key, pieces[1:])), None))
+    cutter, out, fault = Cutter(), [], False
+    for i, piece in enumerate(pieces):
+        begins = marks.piece(piece, i > 0, i == 0)
+        fault = fault or (begins and (cutter.depth > 0 or bool(cutter.inside)))
+        out += [(kind == RECORD, found) for kind, found in cutter.piece(piece, i > 0)]
+    if not (fault or cutter.depth or cutter.inside):
+        out += [(False, found) for _, found in cutter.end()]
+        return out + [(False, found) for found in _unbalanced(cutter.brackets)]
+    segments = Segments(Beginnings(indent, marks.key, nested=tuple(marks.nested)))
+    found = [s for i, piece in enumerate(pieces) for s in segments.piece(piece, i > 0, i == 0)]
+    return [(kind == RECORD, t) for segment in [*found, segments.end()] for kind, t in cut_segment(segment)]
+
+
+class Segments:
+    """Cuts a stream of pieces at the beginnings of records."""
+
+    def __init__(self, marks: Beginnings):
+        self.marks, self.parts = marks, []
+
+    def piece(self, text: str, opened: bool, first: bool) -> Iterator[str]:
+        if self.marks.piece(text, opened, first):
+            yield "".join(self.parts)
+            self.parts = []
+        self.parts += ["{", text] if opened else [text]
+
+    def end(self) -> str:
+        return "".join(self.parts)
+
+
+def cut_segment(text: str) -> Iterator[tuple[int, str]]:
+    """The texts between two beginnings. If more than records lies there, what follows the last record that can
+    be read is one text."""
+    cutter, found = Cutter(), []
     for i, piece in enumerate(text.split("{")):
-        out += [found for _, found in cutter.piece(piece, i > 0)]
-    out += [found for _, found in cutter.end()]
-    return out + _unbalanced(cutter.brackets)
+        found += cutter.piece(piece, i > 0)
+    found += cutter.end()
+    if all(kind == RECORD for kind, _ in found):
+        yield from found
+        return
+    at = 0
+    for kind, part in found:
+        start = text.index(part, at)
+        if kind != RECORD or not _is_json(part):
+            rest = text[start:].rstrip(_BLANK + ",")
+            yield OTHER, rest
+            return
+        yield kind, part
+        at = start + len(part)
+
+
+def _is_json(text: str) -> bool:
+    try:
+        json.loads(text)
+    except (ValueError, RecursionError):
+        return False
+    return True
 
 
 def _unbalanced(brackets: int) -> list[str]:
@@ -143,9 +248,15 @@ def _summaries(batches):
     """Per split and for both states of quotes it may start in: quotes at the end, and ``add``,
     ``least``, ``lowest``: a depth d becomes max(d + add, least), and falls to nothing on the way if
     d + lowest <= 0."""
-    rows, split = {}, None
+    rows, marks, split = {}, {}, None
     for split, opened, text in _by_split(batches):
         states = rows.setdefault(split, [[0, 0, 0, 0], [1, 0, 0, 0]])
+        mark = marks.setdefault(split, [-1, None, -1, "^"])
+        if opened and mark[1] is None:
+            mark[1] = _first_key(text)
+        if mark[2] >= 0 and (mark[0] < 0 or mark[2] < mark[0]):
+            mark[0] = mark[2]
+        mark[2:] = _tail(text, not opened)
         outside, within, odd = _closings(text)
         for state in states:
             closing = within if state[0] else outside
@@ -154,22 +265,31 @@ def _summaries(batches):
             state[2] = max(state[2] + step, 0)
             state[3] = min(state[3], state[1])
             state[0] ^= odd
-    flat = [(*split, *even, *odd) for split, (even, odd) in rows.items()]
+    flat = [(*split, *even, *odd, *marks[split]) for split, (even, odd) in rows.items()]
     yield pa.RecordBatch.from_pylist([dict(zip(_SUMMARY_NAMES, r, strict=True)) for r in flat], schema=_SUMMARY_ARROW)
 
 
 _NUMBERS = [f"{n}_{s}" for s in ("even", "odd") for n in ("inside", "add", "least", "lowest")]
-_SUMMARY_NAMES = ["file", "block", *_NUMBERS]
-_SUMMARY_ARROW = pa.schema([("file", pa.string()), *((n, pa.int64()) for n in _SUMMARY_NAMES[1:])])
+_MARKS = {"indent": "long", "key": "string", "tail_indent": "long", "tail_sign": "string"}
+_SUMMARY_NAMES = ["file", "block", *_NUMBERS, *_MARKS]
+_SUMMARY_ARROW = pa.schema([
+    ("file", pa.string()), *((n, pa.int64()) for n in ("block", *_NUMBERS)),
+    *((n, pa.int64() if t == "long" else pa.string()) for n, t in _MARKS.items()),
+])
 _SUMMARY = "file string, block long, " + ", ".join(f"{n} long" for n in _NUMBERS)
+_SUMMARY += "".join(f", {n} {t}" for n, t in _MARKS.items())
 
 
 def _starts(splits):
     """The splits of one file in order, with the state each starts in, the split in which the record
-    that is open at its end began, and that of the record which the file leaves open."""
+    that is open at its end began, that of the record which the file leaves open, whether the file ends
+    inside a string, and what tells the beginnings of its records."""
     splits = splits.sort_values("block")
     inside = depth = 0
-    owner, out = -1, []
+    owner, out, tail = -1, [], (-1, "^")
+    # The indentation before the first "{" of a split stands in the split before.
+    indents = [i for i in [*splits["indent"], *splits["tail_indent"].iloc[:-1]] if i >= 0]
+    keys = splits["key"].dropna()
     for row in splits.itertuples(index=False):
         kind = "odd" if inside else "even"
         ended = depth + getattr(row, f"lowest_{kind}") <= 0
@@ -180,15 +300,19 @@ def _starts(splits):
             owner = row.block
         elif not depth:
             owner = -1
-        out.append((*start, owner))
-    names = ["file", "block", "inside", "depth", "owner", "owner_after"]
-    frame = type(splits)(out, columns=names)
-    frame["left_open"] = owner
+        out.append((*start, owner, *tail))
+        tail = (row.tail_indent, row.tail_sign)
+    frame = type(splits)(out, columns=["file", "block", *_OWN[:6]])
+    frame["left_open"], frame["left_inside"] = owner, inside
+    frame["indent"], frame["key"] = min(indents, default=-1), keys.iloc[0] if len(keys) else None
     return frame
 
 
+#: The state that a split starts in, and the marks of its file.
+_OWN = ("inside", "depth", "owner", "owner_after", "tail_indent", "tail_sign", "indent", "key")
 _START = (
-    "file string, block long, inside long, depth long, owner long, owner_after long, left_open long"
+    "file string, block long, inside long, depth long, owner long, owner_after long, tail_indent long, "
+    "tail_sign string, left_open long, left_inside long, indent long, key string"
 )
 _CUT = "file string, block long, place long, kind int, owner long, text string, brackets long"
 _CUT_ARROW = pa.schema([
@@ -201,7 +325,7 @@ def _cutting(starts: dict | None):
     """Cut the splits of a task; their states come from ``starts``, or stand beside the pieces."""
 
     def run(batches):
-        cutter, last, state, rows, place = None, None, None, [], 0
+        cutter, last, state, rows, place, marks, told = None, None, None, [], 0, None, set()
 
         def row(kind, text, owner, brackets=0):
             nonlocal place
@@ -219,7 +343,13 @@ def _cutting(starts: dict | None):
                 if last is not None:
                     finish()
                 last, state = split, own
-                cutter = Cutter(own[0], own[1])
+                cutter, told = Cutter(own[0], own[1]), set()
+                marks = Beginnings(own[6], own[7], (own[4], own[5]))
+            if marks.piece(text, opened, split[1] == 0 and not opened) and (cutter.depth or cutter.inside):
+                marks.nested.add(FAULT)
+            for kind in marks.nested - told:
+                row(kind, None, None)
+            told |= marks.nested
             continued = cutter.continued
             for kind, found in cutter.piece(text, opened):
                 row(kind, found, state[2] if kind == FRAGMENT and continued else None)
@@ -234,9 +364,11 @@ def _cutting(starts: dict | None):
     return run
 
 
-def _with_states(batches, starts):
+def _with_states(batches, starts, others=False):
     if starts is not None:
         for split, opened, text in _by_split(batches):
+            if split not in starts and others:
+                continue
             if split not in starts:
                 raise RuntimeError(f"the splits of {split[0]} have changed while it was read")
             yield split, opened, text, starts[split]
@@ -255,46 +387,140 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_CUT_ARROW)
 
 
+def _placed(pieces: DataFrame, starts: DataFrame, own: tuple[str, ...]) -> tuple[DataFrame, dict | None]:
+    """Pieces and what is known of their splits: a dictionary for all tasks, or columns beside them."""
+    if starts.count() <= MAX_SENT_SPLITS:
+        return pieces, {(r.file, r.block): tuple(r[c] for c in own) for r in starts.collect()}
+    numbered = pieces.withColumn("id", F.monotonically_increasing_id())
+    placed = numbered.join(starts, ["file", "block"]).repartition("file", "block")
+    return placed.sortWithinPartitions("file", "block", "id").select("file", "block", "value", *own), None
+
+
 def cut_documents(spark: SparkSession, path: str) -> DataFrame:
     """(value, is_record): the raw text of every record of the files, and of what is no record."""
     pieces = _pieces(spark, path)
     summaries = pieces.mapInArrow(_summaries, _SUMMARY)
     starts = stored(summaries.groupBy("file").applyInPandas(_starts, _START))
-    own = ("inside", "depth", "owner", "owner_after")
-    if starts.count() <= MAX_SENT_SPLITS:
-        known = {(r.file, r.block): tuple(r[c] for c in own) for r in starts.collect()}
-        cut = pieces.mapInArrow(_cutting(known), _CUT)
-    else:
-        numbered = pieces.withColumn("id", F.monotonically_increasing_id())
-        placed = numbered.join(starts, ["file", "block"]).repartition("file", "block")
-        placed = placed.sortWithinPartitions("file", "block", "id").select("file", "block", "value", *own)
-        cut = placed.mapInArrow(_cutting(None), _CUT)
-    cut = stored(cut)
+    placed, known = _placed(pieces, starts, _OWN)
+    cut = stored(placed.mapInArrow(_cutting(known), _CUT))
+    ends = starts.filter("left_open >= 0 OR left_inside > 0").select("file")
+    faults = stored(cut.filter(F.col("kind") == FAULT).select("file").union(ends).distinct())
+    if faults.isEmpty():
+        return _by_first_rule(cut, starts)
+    again, files = _cut_again(pieces, starts, cut, faults)
+    return _by_first_rule(cut.join(files, "file", "left_anti"), starts).union(again)
+
+
+def _by_first_rule(cut: DataFrame, starts: DataFrame) -> DataFrame:
     done = cut.filter(F.col("kind").isin(RECORD, OTHER))
     done = done.select(F.col("text").alias("value"), (F.col("kind") == RECORD).alias("is_record"))
     parts = cut.filter(F.col("kind") == FRAGMENT)
     open_ = starts.filter("left_open >= 0").select("file", F.col("left_open").alias("owner")).distinct()
-    crossing = (
-        parts.join(open_, ["file", "owner"], "left_anti")
-        .groupBy("file", "owner")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "place", "text"))).alias("parts"))
-        .select(F.concat_ws("", F.col("parts.text")).alias("value"), F.lit(True).alias("is_record"))
-    )
-    unclosed = parts.join(open_, ["file", "owner"], "left_semi").select(F.col("text").alias("value"))
+
+    def joined(parts: DataFrame) -> DataFrame:
+        together = F.sort_array(F.collect_list(F.struct("block", "place", "text"))).alias("parts")
+        texts = parts.groupBy("file", "owner").agg(together)
+        return texts.select(F.concat_ws("", F.col("parts.text")).alias("value"))
+
+    crossing = joined(parts.join(open_, ["file", "owner"], "left_anti")).withColumn("is_record", F.lit(True))
+    unclosed = parts.join(open_, ["file", "owner"], "left_semi").filter(F.col("block") - F.col("owner") <= 4 * MAX_SEGMENT)
+    unclosed = joined(unclosed).select(F.substring("value", 1, MAX_SEGMENT).alias("value"))
     brackets = cut.filter(F.col("kind") == BRACKETS).groupBy("file").agg(F.sum("brackets").alias("n"))
     brackets = brackets.filter("n <> 0").select(F.expr("if(n > 0, '[', ']')").alias("value"))
     rest = unclosed.union(brackets).withColumn("is_record", F.lit(False))
     return done.union(crossing).union(rest)
 
 
+_PART = "file string, block long, place long, last boolean, kind int, text string"
+_PART_NAMES = ["file", "block", "place", "last", "kind", "text"]
+
+
+def _segmenting(starts: dict | None):
+    """Cut the splits of a task at the beginnings of records, and what lies between two of them into texts.
+    A split's first part, place 0, goes on from an earlier split, and its last part may go on in a later one:
+    these come out uncut."""
+
+    def run(batches):
+        last, segments, rows, place = None, None, [], 0
+
+        def finish():
+            rows.append((*last, place, True, None, segments.end()))
+
+        for split, opened, text, own in _with_states(batches, starts, others=True):
+            if split != last:
+                if last is not None:
+                    finish()
+                last, place = split, 0
+                nested = [k for k, held in ((NESTED_LINES, own[4]), (NESTED_KEYS, own[5])) if held]
+                segments = Segments(Beginnings(own[2], own[3], (own[0], own[1]), tuple(nested)))
+            for part in segments.piece(text, opened, split[1] == 0 and not opened):
+                if place:
+                    rows += [(*last, place, False, kind, found) for kind, found in cut_segment(part)]
+                else:
+                    rows.append((*last, 0, False, None, part))
+                place += 1
+            if len(rows) >= 10_000:
+                yield _parts(rows)
+                rows = []
+        if last is not None:
+            finish()
+        yield _parts(rows)
+
+    return run
+
+
+def _parts(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.string()]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_PART_NAMES)
+
+
+def _cut_again(pieces: DataFrame, starts: DataFrame, cut: DataFrame, faults: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts of the files with a fault, cut at the beginnings of records, and these files."""
+    nested = faults.join(cut.filter(F.col("kind").isin(NESTED_LINES, NESTED_KEYS)).select("file", "kind"), "file", "left")
+    flags = [F.coalesce(F.max(F.col("kind") == k), F.lit(False)).alias(n) for k, n in ((NESTED_LINES, "lines"), (NESTED_KEYS, "keys"))]
+    starts = starts.join(nested.groupBy("file").agg(*flags), "file")
+    names = [r.file for r in faults.limit(MAX_NAMED_FILES + 1).collect()]
+    if len(names) <= MAX_NAMED_FILES:
+        pieces = pieces.filter(F.col("file").isin(names))
+    else:
+        pieces = pieces.join(faults, "file", "left_semi")
+    placed, known = _placed(pieces, starts, ("tail_indent", "tail_sign", "indent", "key", "lines", "keys"))
+    parts = stored(placed.mapInArrow(_segmenting(known), _PART))
+    done = parts.filter("kind IS NOT NULL").select("file", "kind", "text")
+    # Every uncut part but those at place 0 opens a segment; place 0 goes on with the last one opened before.
+    uncut = parts.filter("kind IS NULL").drop("kind")
+    own = F.when(F.col("last") & (F.col("place") > 0), F.col("block"))
+    splits = uncut.groupBy("file", "block").agg(F.max(own).alias("opened"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.withColumn("before", F.coalesce(F.last("opened", True).over(earlier), F.lit(-1))).drop("opened")
+    owner = F.when(F.col("place") > 0, F.col("block")).otherwise(F.col("before"))
+    uncut = stored(uncut.join(before, ["file", "block"]).withColumn("owner", owner).drop("before"))
+    sizes = uncut.groupBy("file", "owner").agg(F.sum(F.length("text")).alias("n"))
+    long = sizes.filter(F.col("n") > MAX_SEGMENT).select("file").distinct()
+    files = stored(faults.join(long, "file", "left_anti"))
+    together = F.sort_array(F.collect_list(F.struct("block", "place", "text"))).alias("parts")
+    segments = uncut.join(files, "file", "left_semi").groupBy("file", "owner").agg(together)
+    texts = segments.select("file", F.concat_ws("", F.col("parts.text")).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            rows = [(file, kind, t) for file, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for kind, t in cut_segment(text)]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "text"])
+
+    found = done.join(files, "file", "left_semi").union(texts.mapInArrow(run, "file string, kind int, text string"))
+    return found.select(F.col("text").alias("value"), (F.col("kind") == RECORD).alias("is_record")), files
+
+
 def cut_column(df: DataFrame, column: str) -> DataFrame:
     """The same for documents held in a text column; a NULL text is no record, ``null``."""
 
     def run(batches):
         for batch in batches:
-            texts = [t for text in batch.column(0).to_pylist() for t in (["null"] if text is None else cut_text(text))]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+            texts = [t for text in batch.column(0).to_pylist() for t in ([(False, "null")] if text is None else cut_text(text))]
+            columns = [pa.array([t for _, t in texts], pa.string()), pa.array([r for r, _ in texts], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["value", "is_record"])
 
-    cut = df.select(column).mapInArrow(run, "value string")
-    whole = F.col("value").startswith("{") & F.col("value").endswith("}")
-    return cut.withColumn("is_record", whole)
+    return df.select(column).mapInArrow(run, "value string, is_record boolean")

@@ -47,12 +47,11 @@ def read_json(
 
 
 def _read_cut(cut: DataFrame, schema: T.StructType, corrupt: str) -> DataFrame:
-    """Judge cut texts (value, is_record).
+    """Judge cut texts (value, is_record), which are read twice.
 
     Records are written as lines, their line breaks as spaces, and read again: of Spark's JSON parsers
     only that of lines keeps number tokens in text fields as they are. The others are rejected as they are.
     """
-    cut = stored(cut)
     path = workspace(cut.sparkSession, "records")
     lines = cut.filter("is_record").select(F.translate("value", "\r\n", "  ").alias("value"))
     lines.write.text(path)
@@ -104,4 +103,4 @@ def parse_documents(
 
     NULL text is a rejected record ``null``.
     """
-    return _read_cut(cut_column(df, column), schema, corrupt)
+    return _read_cut(stored(cut_column(df, column)), schema, corrupt)

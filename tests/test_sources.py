@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.schemas import BILLING, CORRUPT, TRADE
+from landgate.sources import documents
 from landgate.sources.json_records import parse_documents, parse_records, read_json
 from landgate.sources.landing import land, list_landing
 from landgate.sources.text_lines import read_lines
@@ -100,7 +101,8 @@ def test_document_elements_are_judged_one_by_one(spark, folder):
         ('{"id":"1"}', 1, []),
         ('[{"id":"1"}', 1, ["["]),
         ('[{"id":"1"},{"id":}]', 1, ['{"id":}']),
-        ('[{"id":"1"},{"id":"2"', 1, ["[", '{"id":"2"']),
+        ('[{"id":"1"},{"id":"2"', 1, ['{"id":"2"']),
+        ('[{"id":"1"},{"id":"2"}', 2, ["["]),
         ('[{"id":"1"}] junk, more', 1, ["junk", "more"]),
         ('{"id":"1"}\n{"id":"2"}\r\n\n{"id":"3"}', 3, []),
         ('[{"id":"1"}]\n[{"id":"2"}]', 2, []),
@@ -174,11 +176,7 @@ def test_documents_are_cut_alike_at_every_size(spark, folder, indent):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
         try:
-            got = read_json(spark, folder, SCHEMA)
-            assert texts_of(got.filter(F.length(CORRUPT) < 1500)) == Counter(
-                {k: n for k, n in want.items() if k[2] and len(k[2]) < 1500}
-            )
-            assert texts_of(got.filter(F.col(CORRUPT).isNull())) == Counter({k: n for k, n in want.items() if not k[2]})
+            assert texts_of(read_json(spark, folder, SCHEMA)) == want
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -191,27 +189,105 @@ def test_no_text_of_a_broken_document_is_lost(spark, folder, small_splits):
     got = read_json(spark, folder, SCHEMA)
     rejects = [r[CORRUPT] for r in got.collect() if r[CORRUPT]]
     assert got.filter(F.col(CORRUPT).isNull()).count() + sum('"not a number"' in r for r in rejects) == 40
-    assert sum(r.count("no end") for r in rejects) == 900 and "[" in rejects
-
-
-def test_a_missing_quote_moves_only_where_rejects_are_cut(spark, folder):
-    text = json.dumps(hard_records(60, 2))
-    put(folder, "quote.json", text.replace('"q"', '"q', 1))
-
-    def found():
-        rows = read_json(spark, folder, SCHEMA).collect()
-        good = sorted((r["id"], r["q"]) for r in rows if not r[CORRUPT])
-        marks = Counter("".join(r[CORRUPT] or "" for r in rows))
-        return good, {c: n for c, n in marks.items() if c not in " ,[]"}
-
-    want = found()
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        assert found() == want
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(r.count("no end") for r in rejects) == 900
+
+
+def faulty(records, form, faults):
+    """A document of the records in which some are broken; returns it and the ids that must survive."""
+    texts, broken = [json.dumps(r, **({"separators": (",", ":")} if form == "dense" else {})) for r in records], set()
+    if form == "pretty":
+        texts = ["  " + json.dumps(r, indent=2).replace("\n", "\n  ") for r in records]
+    for at, fault in faults.items():
+        text = texts[at]
+        if fault == "unclosed":
+            texts[at] = text[: text.rindex("}")].rstrip()
+        elif fault == "unclosed inside":
+            texts[at] = text[: text.index("]")] + text[text.index("]") + 1 :]
+        elif fault == "cut off":
+            texts[at] = text[: text.index('"y"')].rstrip()
+        elif fault == "quote":
+            texts[at] = text.replace('_end"', "_end", 1)
+        elif fault == "stray":
+            texts[at] = text + "}"
+            continue
+        broken.add(at)
+    between = {"dense": ",", "lines": ",\n", "stream": "\n", "pretty": ",\n"}[form]
+    whole = between.join(texts)
+    whole = whole if form == "stream" else f"[{'' if form == 'dense' else chr(10)}{whole}]"
+    return whole, [r["id"] for i, r in enumerate(records) if i not in broken]
+
+
+FAULTS = [
+    {7: "unclosed"}, {7: "unclosed inside", 20: "cut off"}, {7: "quote", 19: "stray"}, {0: "unclosed"},
+    {0: "quote", 5: "unclosed", 6: "unclosed", 9: "quote"}, {3: "unclosed", 20: "stray"}, {4: "quote", 24: "quote"}, {29: "unclosed"},
+    {}, {2: "cut off", 29: "quote"},
+]
+
+
+@pytest.mark.parametrize("form", ["dense", "lines", "stream", "pretty"])
+def test_a_fault_costs_one_record_at_every_split_size(spark, folder, form):
+    draw, want, rejects = random.Random(5), [], 0
+    for n, faults in enumerate(FAULTS):
+        records = [
+            {"id": f"f{n}r{i}_end", "q": 1.5, "t": {"x": draw.choice(["a } b", "{ [", "plain, "]) * draw.randint(0, 9)},
+             "more": [{"y": 1}, {"y": i}], "deep": {"z": {"w": "}"}}}
+            for i in range(30)
+        ]
+        text, good = faulty(records, form, faults)
+        with open(f"{folder}/{n // 4}.json", "a") as f:
+            f.write(text + "\n")
+        want += good
+        rejects += len(faults)
+    for size in (None, "5000", "1301"):
+        if size:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = read_json(spark, folder, SCHEMA).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted(r["id"] for r in rows if r[CORRUPT] is None) == sorted(want)
+        assert sum(r[CORRUPT] is not None for r in rows) == rejects
+        found = sorted(r[CORRUPT] for r in rows if r[CORRUPT] is not None)
+        assert found == (first if size else (first := found))
+    column = parse_documents(spark.read.text(folder, wholetext=True), "value", SCHEMA).collect()
+    assert sorted(r[CORRUPT] for r in column if r[CORRUPT] is not None) == first
+    assert sorted(r["id"] for r in column if r[CORRUPT] is None) == sorted(want)
+
+
+def test_nested_objects_are_no_beginnings(spark, folder):
+    """Nested objects that look like records: on lines of their own, or with the same first key."""
+    flat = '[\n{\n"id":"a",\n"more":[\n{\n"id":"b"\n},\n{\n"id":"c"\n}\n]\n},\n{\n"id":"d"\n}\n]'
+    put(folder, "flat.json", flat)
+    put(folder, "same.json", json.dumps([{"id": f"s{i}", "more": [{"id": "x"}, {"id": "y"}]} for i in range(40)]))
+    put(folder, "broken.json", json.dumps([{"id": f"t{i}", "more": [{"id": "x"}, {"id": "y"}]} for i in range(40)]) + '{"x')
+    for size in ("100000", "300"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = read_json(spark, folder, SCHEMA).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        want = ["a", "d", *(f"s{i}" for i in range(40)), *(f"t{i}" for i in range(40))]
+        assert sorted(r["id"] for r in rows if r[CORRUPT] is None) == sorted(want)
+        assert [r[CORRUPT] for r in rows if r[CORRUPT] is not None] == ['{"x']
+
+
+def test_files_without_beginnings_keep_to_the_first_rule(spark, folder, monkeypatch):
+    monkeypatch.setattr(documents, "MAX_SEGMENT", 3000)
+    text = json.dumps([{"q": i, "id": "x" * 90} if i else {"id": "0"} for i in range(100)])
+    put(folder, "a.json", text[: text.rindex("}")] + ',"t":{')
+    put(folder, "b.json", text.replace('"id": "x', '"id: "x', 1))
+    found = []
+    for size in ("100000", "2000", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = read_json(spark, folder, SCHEMA).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        found.append(sorted((r["id"] or "", r[CORRUPT] or "") for r in rows))
+        assert sum(r[CORRUPT] is None for r in rows) >= 100
+    assert found[0] == found[1] == found[2]
 
 
 def test_number_tokens_of_documents_are_kept(spark, folder):

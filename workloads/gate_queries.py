@@ -17,10 +17,12 @@ from workloads.landed import (
     BILLS_JUDGED,
     DOCUMENTS_JUDGED,
     TRADES_JUDGED,
+    UNCLOSED,
     bill_records,
     document_files,
     land_trades,
     trade_lines,
+    unclosed_files,
 )
 
 TRADE_KEYS = ("record_id", "trade_date", "quantity", "price", "currency", "trade_details")
@@ -122,15 +124,14 @@ def gate_column(spark, sf):
     return parsed.select("record_id", "quantity", F.col(CORRUPT).isNull().alias("accepted"))
 
 
-def _documents(lines, broken):
-    return lines.groupBy(F.floor(F.col("k") / 100).alias("d"), broken.alias("broken")).agg(
+def _documents(lines):
+    return lines.groupBy(F.floor(F.col("k") / 100).alias("d")).agg(
         F.expr("concat('[', listagg(raw, ',') WITHIN GROUP (ORDER BY k), ']')").alias("doc")
     )
 
 
 def gate_multiline(spark, sf):
-    # A malformed line never ends, and takes what follows with it, so those lines get their own ones.
-    docs = _documents(trade_lines(spark, sf), F.col("k") % 10 == 0)
+    docs = _documents(trade_lines(spark, sf))
     return parse_documents(docs, "doc", TRADE).select(
         "record_id", "quantity", F.col(CORRUPT).alias("rejected")
     )
@@ -149,6 +150,15 @@ def documents_read(spark, sf):
     return df.select("billing_account_id", "cost", F.col(CORRUPT).alias("rejected"))
 
 
+def documents_unclosed(spark, sf):
+    path = workspace(spark, "unclosed")
+    land(unclosed_files(spark, sf).repartition(8), path, "text")
+    df = read_json(spark, path, BILLING)
+    # Behind a record that nothing closes stands the end of its array.
+    text = F.regexp_replace(CORRUPT, r"[\s,\[\]]+$", "")
+    return df.select("billing_account_id", text.alias("rejected"))
+
+
 def documents_gate(spark, sf):
     report = run_gate(spark, GateConfig(_land_documents(spark, sf)))
     return report.summary.select("total", "valid", "invalid", "status")
@@ -160,7 +170,7 @@ def documents_rules(spark, sf):
 
 
 def _bills(spark, sf):
-    docs = _documents(bill_records(spark, sf), F.lit(False))
+    docs = _documents(bill_records(spark, sf))
     return parse_documents(docs, "doc", BILLING)
 
 
@@ -328,17 +338,18 @@ QUERIES = {
     "gate_multiline": (
         gate_multiline,
         TRADES_JUDGED
-        + """, documents_of AS (
-            SELECT k % 10 = 0 AS broken, concat('[', string_agg(raw, ',' ORDER BY k), ']') AS doc
-            FROM judged GROUP BY CAST(floor(k / 100) AS BIGINT), k % 10 = 0)
-          SELECT json_extract_string(raw, '$.record_id') AS record_id,
-            TRY_CAST(json_extract_string(raw, '$.quantity') AS DOUBLE) AS quantity,
-            CASE WHEN NOT good THEN raw END AS rejected
-          FROM judged WHERE k % 10 <> 0
-          UNION ALL
-          SELECT NULL, NULL, substring(doc, 2) FROM documents_of WHERE broken
-          UNION ALL
-          SELECT NULL, NULL, '[' FROM documents_of WHERE broken""",
+        + """, placed AS (SELECT *, k = max(k) OVER (PARTITION BY floor(k / 100)) AS closes FROM judged)
+          SELECT json_extract_string(safe, '$.record_id') AS record_id,
+            TRY_CAST(json_extract_string(safe, '$.quantity') AS DOUBLE) AS quantity,
+            CASE WHEN good THEN NULL WHEN closes AND NOT json_valid(raw) THEN concat(raw, ']') ELSE raw END AS rejected
+          FROM placed""",
+    ),
+    "documents_unclosed": (
+        documents_unclosed,
+        f"""WITH records AS ({UNCLOSED})
+          SELECT CASE WHEN k % 50 NOT IN (10, 20) THEN concat('A', CAST(k AS VARCHAR)) END AS billing_account_id,
+            CASE WHEN k % 50 IN (10, 20) THEN raw END AS rejected FROM records
+          UNION ALL SELECT NULL, '}}' FROM records WHERE k % 50 = 30""",
     ),
     "documents_read": (
         documents_read,

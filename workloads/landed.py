@@ -58,6 +58,14 @@ judged AS (
     CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS safe FROM texts)
 """
 
+# Records of which some lack their last brace (10), a quote (20) or have a brace too many (30).
+UNCLOSED = """
+SELECT o_orderkey AS k, concat('{"cost":"', CAST(o_custkey AS STRING), CASE WHEN o_orderkey % 50 = 20 THEN '' ELSE '"' END,
+  ',"service":{"id":"S","description":"a } and { and ]"},"labels":[{"key":"a"},{"key":"b"}],"billing_account_id":"A',
+  CAST(o_orderkey AS STRING), '"', CASE o_orderkey % 50 WHEN 10 THEN '' WHEN 30 THEN '}}' ELSE '}' END) AS raw
+FROM orders
+"""
+
 # What DuckDB makes of a trade line: the corrupt ones, and the fields of the good ones.
 TRADES_JUDGED = f"""
 WITH trades AS ({TRADES}),
@@ -99,6 +107,16 @@ def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.concat("doc", junk).alias("doc"))
 
 
+def unclosed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc): arrays of about 100 records, on lines of their own or all on one line."""
+    records = _from_orders(spark, sf_dir, UNCLOSED)
+    joined = "concat('[', listagg(raw, '{}') WITHIN GROUP (ORDER BY k), ']')"
+    docs = records.groupBy(F.floor(F.col("k") / 100).alias("d")).agg(
+        F.expr(joined.format(r",\n  ")).alias("lines"), F.expr(joined.format(",")).alias("dense")
+    )
+    return docs.select(F.when(F.col("d") % 2 == 0, F.col("lines")).otherwise(F.col("dense")).alias("doc"))
+
+
 def land_trades(spark: SparkSession, sf_dir: str) -> str:
     """Trade lines written as a landed file set; returns its path."""
     path = workspace(spark, "trades")
