@@ -16,10 +16,19 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+#: The partition column of a table whose batches can be loaded again.
+BATCH = "batch_id"
+
+
 def create_target(
-    spark: SparkSession, name: str, target: Sequence[TargetColumn], path: str | None = None
+    spark: SparkSession,
+    name: str,
+    target: Sequence[TargetColumn],
+    path: str | None = None,
+    batches: bool = False,
 ) -> None:
-    """Declare a parquet table if it is not there yet; load stamps default to the current time."""
+    """Declare a parquet table if it is not there yet; load stamps default to the current time. With
+    ``batches`` it has a last column ``batch_id``, by which it is partitioned."""
     columns = ", ".join(
         f"`{c.name}` {c.type}"
         + (" NOT NULL" if c.required else "")
@@ -27,7 +36,9 @@ def create_target(
         for c in target
     )
     where = " LOCATION '{}'".format(path.replace("'", "\\'")) if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet{where}")
+    split = f" PARTITIONED BY ({BATCH})" if batches else ""
+    columns += f", {BATCH} string" if batches else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet{split}{where}")
 
 
 def _save(df: DataFrame, name: str, mode: str, path: str | None) -> int:
@@ -50,23 +61,60 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> int:
     return _save(df, name, "append", path)
 
 
+def put_batch(df: DataFrame, name: str, batch: str) -> int:
+    """Make ``df`` the rows of one batch of a table declared with ``batches``; returns their number.
+
+    Whatever the batch held before is replaced, so putting it again, also after a failure half-way, leaves it
+    once. Other batches are not touched.
+    """
+    spark = df.sparkSession
+    if spark.table(name).columns[-1:] != [BATCH]:
+        raise ValueError(f"table {name} is not kept by batches")
+    written, view = Observation(), f"batch_{uuid.uuid4().hex}"
+    df.observe(written, F.count(F.lit(1)).alias("n")).createOrReplaceTempView(view)
+    columns = ", ".join(f"`{c}`" for c in spark.table(name).columns[:-1])
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {_quoted(name)} PARTITION ({BATCH} = '{batch}') SELECT {columns} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    return written.get["n"]
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> tuple[int, int]:
     """Replace the table; returns rows written and rows then counted in the table.
 
-    With ``path`` the rows are written to a new folder below it, and only then the table is switched
-    over, so a failed write leaves the old contents. A managed table, without ``path``, is dropped
-    before its new files are written.
+    The rows are written first, with ``path`` to a new folder below it and without to a new managed table,
+    and only then the name is switched over: a failed write leaves the old contents, and ``df`` may read the
+    table that it replaces. Between dropping a managed table and giving its name to the new one lies no more
+    than a catalog operation; the new rows are then in a table named ``<name>_<8 digits>``.
     """
+    spark = df.sparkSession
     if path is None:
-        written = _save(df, name, "overwrite", None)
+        new = _beside(name)
+        try:
+            written = _save(df, new, "errorifexists", None)
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(new)}")
+            raise
+        _rename(spark, new, name)
     else:
         where, seen = f"{path.rstrip('/')}/{uuid.uuid4().hex}", Observation()
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(where)
         written = seen.get["n"]
-        publish_files(df.sparkSession, name, df.schema, where, replace=True)
+        publish_files(spark, name, df.schema, where, replace=True)
     return written, df.sparkSession.table(name).count()
 
 
+def _beside(name: str) -> str:
+    *before, last = name.split(".")
+    return ".".join([*before, f"{last}_{uuid.uuid4().hex[:8]}"])
+
+
+def _rename(spark: SparkSession, new: str, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(new)} RENAME TO {_quoted(name)}")
+
+
 def _is_managed(spark: SparkSession, name: str) -> bool:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Type'")
     return any(r.data_type == "MANAGED" for r in rows.collect())
@@ -97,11 +145,9 @@ def publish_files(
         return
     if not replace:
         raise ValueError(f"table {name} is managed or has other columns; say so to replace it")
-    *before, last = name.split(".")
-    new = ".".join([*before, f"{last}_{uuid.uuid4().hex[:8]}"])
+    new = _beside(name)
     spark.sql(create.format(_quoted(new)))
-    spark.sql(f"DROP TABLE {_quoted(name)}")
-    spark.sql(f"ALTER TABLE {_quoted(new)} RENAME TO {_quoted(name)}")
+    _rename(spark, new, name)
 
 
 def clustered(

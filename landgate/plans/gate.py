@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.operators import quality as Q
+from landgate.operators.causes import cause_entries, cause_metrics, cause_number
 from landgate.operators.tables import append_table, overwrite_table, publish_files
 from landgate.schemas import BILLING, BILLING_KEY_FIELDS, CORRUPT
 from landgate.sources.json_records import read_json
 from landgate.workspace import workspace
 
 STAGED_FLAG = "is_valid"
+CAUSE = "_cause"
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,8 @@ class GateConfig:
 
 @dataclass(frozen=True)
 class GateReport:
-    """``summary`` has one row: counts, shares, verdict and, nested, null profile and violations."""
+    """``summary`` has one row: counts, shares, verdict and, nested, null profile and violations.
+    ``causes`` says how many records each cause rejected."""
 
     source: str
     total: int
@@ -54,6 +57,7 @@ class GateReport:
     summary: DataFrame = field(repr=False)
     null_stats: DataFrame = field(repr=False)
     violations: DataFrame = field(repr=False)
+    causes: DataFrame = field(repr=False)
     tables: dict = field(default_factory=dict)
 
 
@@ -75,18 +79,24 @@ def stage(
     key_fields: Sequence[str] = (),
     rules: Sequence[Q.Rule] = (),
     corrupt: str = CORRUPT,
+    causes: T.StructType | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write parsed records once, split by validity, and take all gate metrics on the way.
 
     This is the only job that reads the source. The metrics come from the tasks that write, with no
-    shuffle above them, so a task run again after a lost executor is counted once.
+    shuffle above them, so a task run again after a lost executor is counted once. With ``causes``,
+    the declared schema, the causes of rejects are counted, too.
     """
     observed = Observation()
-    flagged = parsed.withColumn(STAGED_FLAG, Q.is_valid(corrupt)).observe(
+    flagged = parsed.withColumn(STAGED_FLAG, Q.is_valid(corrupt))
+    if causes is not None:
+        flagged = flagged.withColumn(CAUSE, cause_number(causes, corrupt))
+    flagged = flagged.observe(
         observed,
         *Q.validity_metrics(corrupt),
         *Q.quality_metrics(key_fields, rules, among=F.col(STAGED_FLAG)),
-    )
+        *(cause_metrics(causes, CAUSE) if causes is not None else ()),
+    ).drop(CAUSE)
     with _open_files(parsed.sparkSession, 2):
         flagged.write.mode("errorifexists").partitionBy(STAGED_FLAG).parquet(path)
     # Declared, not inferred: partition values would come back as text, and an empty source leaves
@@ -140,7 +150,8 @@ def gate_records(parsed: DataFrame, cfg: GateConfig) -> GateReport:
     """
     spark = parsed.sparkSession
     path = workspace(spark, "gate", root=cfg.table_root)
-    staged, metrics = stage(parsed, path, cfg.key_fields, cfg.rules)
+    staged, metrics = stage(parsed, path, cfg.key_fields, cfg.rules, causes=cfg.schema)
+    causes = cause_entries(cfg.schema, metrics)
     valid, invalid = staged_sides(staged)
     summary = summarize(spark, metrics, cfg.source, cfg.key_fields, cfg.rules)
 
@@ -178,6 +189,7 @@ def gate_records(parsed: DataFrame, cfg: GateConfig) -> GateReport:
         summary=summary,
         null_stats=summary.select(F.inline("null_stats")),
         violations=summary.select(F.inline("violations")),
+        causes=spark.createDataFrame(causes, "cause string, path string, records bigint"),
         tables=tables,
     )
 

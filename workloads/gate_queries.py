@@ -16,6 +16,7 @@ from workloads.load_queries import read_and_drop
 from workloads.landed import (
     BILLS_JUDGED,
     DOCUMENTS_JUDGED,
+    TRADES,
     TRADES_JUDGED,
     UNCLOSED,
     bill_records,
@@ -81,6 +82,14 @@ def gate_rejects(spark, sf):
     return Q.reject_texts(_trade_gate(spark, sf).invalid, width=20)
 
 
+def reject_causes(spark, sf):
+    """Causes that the gate counts, over trade lines and over document files of bills."""
+    documents = run_gate(spark, GateConfig(_land_documents(spark, sf)))
+    found = [("trades", _trade_gate(spark, sf)), ("bills", documents)]
+    parts = [r.causes.select(F.lit(name).alias("source"), "cause", "path", "records") for name, r in found]
+    return parts[0].union(parts[1])
+
+
 def reject_sample(spark, sf):
     return Q.reject_sample(Q.split_valid(_trades(spark, sf))[1], n=5, width=30)
 
@@ -292,6 +301,18 @@ QUERIES = {
         + """SELECT CASE WHEN length(raw) > 20 THEN concat(substring(raw, 1, 20), '...') ELSE raw END
             AS rejected FROM judged WHERE NOT good""",
     ),
+    "reject_causes": (
+        reject_causes,
+        f"""WITH trades AS (SELECT raw, json_valid(raw) AS readable,
+              CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS safe FROM ({TRADES})),
+            bills AS (SELECT * FROM ({DOCUMENTS_JUDGED} SELECT raw, good FROM judged))
+          SELECT 'trades' AS source, CASE WHEN readable THEN 'wrong type' ELSE 'syntax' END AS cause,
+            CASE WHEN readable THEN 'quantity' END AS path, count(*) AS records FROM trades
+          WHERE NOT readable OR json_type(safe, '$.quantity') = 'VARCHAR' GROUP BY ALL
+          UNION ALL
+          SELECT 'bills', CASE WHEN raw LIKE '{{%' THEN 'syntax' ELSE 'stray text' END, NULL, count(*)
+          FROM bills WHERE NOT good GROUP BY ALL""",
+    ),
     "reject_sample": (
         reject_sample,
         TRADES_JUDGED

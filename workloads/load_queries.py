@@ -49,6 +49,23 @@ def _loaded(spark, sf, times=1, **more):
     return read_and_drop(spark, cfg.table), reports
 
 
+def load_twice(spark, sf):
+    """The same landed files loaded twice under a ledger, and the rows that each run inserted."""
+    cfg = LoadConfig(
+        land_trades(spark, sf), _name("trades"), table_path=workspace(spark, "trades-table"), ledger=_name("ledger")
+    )
+    reports = [run_load(spark, cfg) for _ in range(2)]
+    entered = spark.table(cfg.ledger).count()
+    table = spark.read.schema(spark.table(cfg.table).schema).parquet(cfg.table_path)
+    for name in (cfg.ledger, cfg.table):
+        spark.sql(f"DROP TABLE {name}")
+    inserted = [F.lit(r.inserted).cast("long").alias(f"inserted_{i}") for i, r in enumerate(reports, 1)]
+    return table.select(
+        F.col("RECORD_ID").alias("record_id"), F.col("QUANTITY").alias("quantity"), *inserted,
+        F.lit(entered).cast("long").alias("batches"),
+    )
+
+
 def load_conform(spark, sf):
     table, _ = _loaded(spark, sf)
     return table.select(
@@ -189,6 +206,14 @@ QUERIES = {
             CAST(NULL AS VARCHAR) AS no_such, CAST(NULL AS INTEGER) AS wrong_type
             FROM good""",
     ),
+    "load_twice": (
+        load_twice,
+        TRADES_JUDGED
+        + """SELECT json_extract_string(safe, '$.record_id') AS record_id,
+            TRY_CAST(json_extract_string(safe, '$.quantity') AS DECIMAL(18, 4)) AS quantity,
+            (SELECT count(*) FROM judged WHERE good) AS inserted_1, CAST(0 AS BIGINT) AS inserted_2,
+            CAST(1 AS BIGINT) AS batches FROM judged WHERE good""",
+    ),
     "load_append_count": (
         load_append_count,
         TRADES_JUDGED
