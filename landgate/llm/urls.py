@@ -55,11 +55,17 @@ def node(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.xxhash64(name))
 
 
+#: What holds no tags of a page: comments, scripts and styles, up to the page's end if nothing closes them.
+NO_MARKUP = r"(?is)<!--(?:.*?-->|.*+)|<(script|style|textarea|template)\b(?:.*?</\1\b|.*+)"
+#: A link or meta tag. Possessive groups take any number of characters without the stack, and no sign after which
+#: another tag may begin is passed, so a page is read once however broken its tags are.
+TAG = r"""(?is)<(?:link|meta)\b(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>"""
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(from_url, to_url): every canonical link and meta refresh of the pages."""
-    tags = F.expr(
-        rf"regexp_extract_all({html}, '(?is)<(?:link|meta)\\b(?:[^>\"\']|\"[^\"]*\"|\'[^\']*\')*>', 0)"
-    )
+    """(from_url, to_url): every canonical link and meta refresh of the pages, none from comments or scripts."""
+    markup = F.regexp_replace(F.col(html), NO_MARKUP, " ")
+    tags = F.regexp_extract_all(markup, F.lit(TAG), F.lit(0))
     tag = F.col("_tag")
     canonical = tag.rlike(r"(?i)^<link\b") & tag.rlike(r"""(?i)\brel\s*=\s*["']?[^"'>]*\bcanonical\b""")
     refresh = tag.rlike(r"(?i)^<meta\b") & tag.rlike(r"""(?i)http-equiv\s*=\s*["']?refresh""")
