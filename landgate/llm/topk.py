@@ -12,8 +12,10 @@ rows per query leave it. Cells are only an order that makes bounds tight: they a
 sample, and any cells give the same result.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; shorter vectors
-are filled up with zeros; rows with null ids take no part; repeated rows count once; a query never meets
-rows of its own id; queries with fewer than k candidates get them all; components are below 2**20.
+are filled up with zeros; rows with null ids take no part; repeated rows are rows of their own, and a repeated query has every candidate as often; a query never meets
+rows of its own id; queries with fewer than k candidates get them all; an empty table gives no rows. Products are
+exact at any size: as floating-point numbers where all sums stay below 2**53, else as 64-bit integers, else as
+Python's; a score of the result beyond 64 bits, or a component beyond 2**62, is an error.
 """
 
 from __future__ import annotations
@@ -33,6 +35,24 @@ CELLS, SAMPLE, ROUNDS = 32, 4096, 5
 SCALE = 256
 
 
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The inner products of the rows of two matrices of whole numbers, as 64-bit integers."""
+    largest = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0)))) for m in (a, b)]
+    bound = largest[0] * largest[1] * a.shape[1]
+    if bound < 1 << 53:
+        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
+    if bound < 1 << 63:
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    return (a.astype(object) @ b.T.astype(object)).astype(np.int64)
+
+
+def upper_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For every query and block no less than the largest product possible."""
+    q, low, high = (m.astype(np.float64) for m in (q, low, high))
+    slack = np.abs(q) @ np.maximum(np.abs(low), np.abs(high)).T * (q.shape[1] + 4) * 2.0**-50
+    return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T + slack
+
+
 def whole_numbers(column: pa.Array, dims: int, scale: float = SCALE) -> tuple[np.ndarray, np.ndarray]:
     """(rows that take part, their vectors as whole numbers)."""
     size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -42,7 +62,7 @@ def whole_numbers(column: pa.Array, dims: int, scale: float = SCALE) -> tuple[np
     place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
     fine = np.asarray(column.is_valid())
     fine[row[~np.isfinite(value)]] = False
-    dense = np.zeros((len(column), dims), np.int32)
+    dense = np.zeros((len(column), dims), np.int64)
     use = fine[row]
     dense[row[use], place[use]] = np.floor(scale * value[use])
     return np.flatnonzero(fine), dense[fine]
@@ -68,18 +88,18 @@ def better(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def block_rows(ids: np.ndarray, vectors: np.ndarray, is_query: np.ndarray, k: int) -> dict:
+def block_rows(ids: np.ndarray, vectors: np.ndarray, is_query: np.ndarray, k: int, kind: str) -> dict:
     """A block: its vectors, its terms' extremes, and its queries with their k-th best score in it."""
     own = []
     for i in np.flatnonzero(is_query):
-        scores = (vectors.astype(np.int64) @ vectors[i].astype(np.int64))[ids != ids[i]]
+        scores = exact_products(vectors, vectors[i : i + 1])[ids != ids[i], 0]
         floor = int(np.partition(scores, -k)[-k]) if len(scores) >= k else None
-        own.append({"query_id": int(ids[i]), "vector": vectors[i].astype("<i4").tobytes(), "floor": floor})
+        own.append({"query_id": int(ids[i]), "vector": vectors[i].astype(kind).tobytes(), "floor": floor})
     return {
         "ids": ids.astype("<i8").tobytes(),
-        "vectors": vectors.astype("<i4").tobytes(),
-        "high": vectors.max(axis=0).astype("<i4").tobytes(),
-        "low": vectors.min(axis=0).astype("<i4").tobytes(),
+        "vectors": vectors.astype(kind).tobytes(),
+        "high": vectors.max(axis=0).astype(kind).tobytes(),
+        "low": vectors.min(axis=0).astype(kind).tobytes(),
         "queries": own,
     }
 
@@ -94,15 +114,18 @@ BLOCK_ARROW = pa.schema([
 ])
 
 
-def blocks(vectors: DataFrame, dims: int, k: int, pivots: np.ndarray, id_: str, query: Column) -> DataFrame:
-    """One row per block of the vectors (``id_``, ``vector``), in the order of cell and id."""
+def blocks(
+    vectors: DataFrame, dims: int, k: int, pivots: np.ndarray, id_: str, query: Column, kind: str
+) -> DataFrame:
+    """One row per block of the vectors (``id_``, ``vector``), in the order of cell and id; ``kind`` is the type
+    in which whole numbers are kept."""
 
     def quantised(batches):
         for batch in batches:
             rows, found = whole_numbers(batch.column(1), dims)
             cell = cells(found, pivots) if len(rows) else np.zeros(0, np.int64)
             kept = batch.take(pa.array(rows))
-            data = pa.array([v.astype("<i4").tobytes() for v in found], pa.binary())
+            data = pa.array([v.astype(kind).tobytes() for v in found], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [kept.column(0), pa.array(cell.astype(np.int32)), kept.column(2), data],
                 names=["id", "cell", "query", "v"],
@@ -110,19 +133,15 @@ def blocks(vectors: DataFrame, dims: int, k: int, pivots: np.ndarray, id_: str,
 
     def blocked(batches):
         held: list[tuple] = []
-        last = None
 
         def block():
             ids, is_query, data = zip(*held, strict=True)
-            matrix = np.frombuffer(b"".join(data), "<i4").reshape(len(ids), dims)
-            return block_rows(np.array(ids, np.int64), matrix, np.array(is_query, bool), k)
+            matrix = np.frombuffer(b"".join(data), kind).reshape(len(ids), dims)
+            return block_rows(np.array(ids, np.int64), matrix, np.array(is_query, bool), k, kind)
 
         for batch in batches:
             out = []
             for row in zip(*(batch.column(n).to_pylist() for n in ("id", "query", "v")), strict=True):
-                if row == last:
-                    continue
-                last = row
                 held.append(row)
                 if len(held) == BLOCK:
                     out.append(block())
@@ -138,19 +157,19 @@ def blocks(vectors: DataFrame, dims: int, k: int, pivots: np.ndarray, id_: str,
     return stored(ordered.mapInArrow(blocked, BLOCK_SCHEMA), "topk-blocks")
 
 
-def search(queries: list[tuple], group: list[tuple], dims: int, k: int) -> list[tuple[int, int, int]]:
+def search(queries: list[tuple], group: list[tuple], dims: int, k: int, kind: str = "<i4") -> list[tuple[int, int, int]]:
     """(query_id, vec_id, score): each query's best ``k`` in a group of blocks, as far as they can count.
 
     queries: (query_id, vector bytes, floor or None); group: (ids, vectors, high, low) as bytes.
     """
-    q = np.stack([np.frombuffer(v, "<i4") for _, v, _ in queries]).astype(np.float64)
-    low, high = (np.stack([np.frombuffer(b[i], "<i4") for b in group]).astype(np.float64) for i in (3, 2))
+    q = np.stack([np.frombuffer(v, kind) for _, v, _ in queries])
+    low, high = (np.stack([np.frombuffer(b[i], kind) for b in group]) for i in (3, 2))
     ids = [np.frombuffer(b[0], "<i8") for b in group]
-    vectors = [np.frombuffer(b[1], "<i4").reshape(-1, dims).astype(np.float64) for b in group]
-    bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+    vectors = [np.frombuffer(b[1], kind).reshape(-1, dims) for b in group]
+    bounds = upper_bounds(q, low, high)
     order = np.argsort(-bounds, axis=1, kind="stable")
-    least = np.array([-np.inf if f is None else f for _, _, f in queries])
-    best = [(np.zeros(0), np.zeros(0, np.int64)) for _ in queries]
+    least = np.array([np.iinfo(np.int64).min if f is None else f for _, _, f in queries], np.int64)
+    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in queries]
     active = np.arange(len(queries))
     for rank in range(len(group)):
         block = order[active, rank]
@@ -160,7 +179,7 @@ def search(queries: list[tuple], group: list[tuple], dims: int, k: int) -> list[
         block = order[active, rank]
         for b in np.unique(block):
             some = active[block == b]
-            scores = q[some] @ vectors[b].T
+            scores = exact_products(q[some], vectors[b])
             near = scores >= least[some][:, None]
             for i in np.flatnonzero(near.any(axis=1)):
                 own = near[i] & (ids[b] != queries[some[i]][0])
@@ -178,12 +197,18 @@ def search(queries: list[tuple], group: list[tuple], dims: int, k: int) -> list[
 def top_k(vectors: DataFrame, id_: str, vector: str, query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` for which ``query`` holds."""
     rows = vectors.select(F.col(id_), F.col(vector).cast("array<double>").alias("vector"), query.alias("_query"))
-    dims = max(1, rows.agg(F.max(F.size("vector"))).first()[0] or 1)
+    finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    sizes = F.when(finite, F.array_max(F.transform("vector", F.abs)))
+    dims, largest = rows.agg(F.max(F.size("vector")), F.max(sizes)).first()
+    dims, largest = max(1, dims or 1), SCALE * (largest or 0) + 1
+    if largest > 1 << 62:
+        raise ValueError(f"components of up to {largest / SCALE} are beyond 64-bit integers")
+    kind = "<i4" if largest < 1 << 31 else "<i8"
     few = rows.filter(F.col(id_).isNotNull() & F.col("vector").isNotNull())
     few = few.orderBy(F.xxhash64(id_), id_).limit(SAMPLE).select("vector").toArrow().column(0)
     _, sample = whole_numbers(few.combine_chunks(), dims)
     pivots = fitted_pivots(sample.astype(np.float64)) if len(sample) else np.zeros((1, dims))
-    built = blocks(rows, dims, k, pivots, id_, F.coalesce(F.col("_query"), F.lit(False)))
+    built = blocks(rows, dims, k, pivots, id_, F.coalesce(F.col("_query"), F.lit(False)), kind)
     asked = built.select(F.explode("queries").alias("q")).select("q.*")
     n_blocks, n_queries = built.count(), asked.count()
     shards, groups = max(1, -(-n_blocks // GROUP_BLOCKS)), max(1, -(-n_queries // GROUP_QUERIES))
@@ -201,7 +226,7 @@ def top_k(vectors: DataFrame, id_: str, vector: str, query: Column, k: int = 5)
             floors = [None if pd.isna(f) else int(f) for f in some["floor"]]
             queries = list(zip(some["query_id"].tolist(), some["vector"], floors, strict=True))
             own = list(zip(*(blocks_[c] for c in ("ids", "vectors", "high", "low")), strict=True))
-            found = search(queries, own, dims, k)
+            found = search(queries, own, dims, k, kind)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     met = left.groupBy("grp", "shard").cogroup(right.groupBy("grp", "shard"))
