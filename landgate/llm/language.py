@@ -30,7 +30,11 @@ from landgate.llm.tables import table
 
 UNKNOWN = "und"
 #: The sample's bounds.
-SEGMENTS, SEGMENT_WORDS, SAMPLED_DOCS = 800, 40, 800
+SEGMENTS, SEGMENT_WORDS, SAMPLED_DOCS, WORD_CHARACTERS = 800, 40, 800, 64
+#: Parts in which the sample's rows are ranked before the best of all parts are.
+PARTS = 256
+#: Words that make a line a full piece; shorter ones, such as lines of unspaced scripts, come after those.
+FULL = 3
 TABLE_BITS = 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 4, 256, 0.5, 1e-4, 7
 BLOCK = 64
@@ -169,20 +173,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _first(rows: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first ``n`` rows of every language, ranked in hashed parts and then among the first of all parts."""
+    part = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "lang"]), F.lit(PARTS))
+    for by in (("lang", part), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        rows = rows.withColumn("_n", place).filter(F.col("_n") <= n).drop("_n")
+    return rows
+
+
 def sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
     """(lang, words) of the pieces to learn from: the rows and lines with the smallest hashes."""
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     labelled = labelled.filter(~held_out(F.col("doc_id")))
-    few = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(few))
-    chosen = chosen.filter(F.col("_n") <= SAMPLED_DOCS).select("doc_id").distinct()
-    lines = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = _first(labelled.select("doc_id", "lang"), SAMPLED_DOCS, F.xxhash64("doc_id"), "doc_id")
+    lines = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
     lines = lines.select("lang", F.explode(F.split("text", "\n")).alias("line"))
     words = F.filter(F.split(F.col("line"), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")
-    pieces = lines.select("lang", words.alias("words")).filter(F.size("words") >= 3)
-    pieces = pieces.select("lang", F.slice("words", 1, SEGMENT_WORDS).alias("words"))
-    some = Window.partitionBy("lang").orderBy(F.xxhash64("words"), "words")
-    pieces = pieces.withColumn("_n", F.row_number().over(some)).filter(F.col("_n") <= SEGMENTS)
+    words = F.transform(F.slice(words, 1, SEGMENT_WORDS), lambda w: F.substring(w, 1, WORD_CHARACTERS))
+    pieces = lines.select("lang", words.alias("words")).filter(F.size("words") > 0)
+    pieces = _first(pieces, SEGMENTS, F.size("words") < FULL, F.xxhash64("words"), "words")
     return sorted((r["lang"], r["words"]) for r in pieces.select("lang", "words").collect())
 
 

@@ -195,6 +195,18 @@ def test_language_of_code_switched_words():
     assert got["lang_pred"][2:] == ["und"] * 3 and got["score"][2:] == [0.0] * 3
 
 
+def test_every_labelled_language_is_learned(spark):
+    """Unspaced scripts, texts of one or two words, and far more rows of one language than are sampled."""
+    draw = np.random.default_rng(1)
+    signs = {"zh": "的一是不了人我在有他这中大来上国", "th": "กขคงจฉชซญฐณดตถทธนบปผฝ", "xx": "abcdefg"}
+    rows = [(i, "".join(draw.choice(list(signs[k]), 30)) + "。", k) for i, k in enumerate(["zh", "th", "xx"] * 60)]
+    rows += [(1000 + i, "una casa en el campo y la playa", "es") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {lang for lang, _ in language.sample(docs)} == {"zh", "th", "xx", "es"}
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.98 * len(rows)
+
+
 def test_language_of_odd_rows(spark):
     got = {r.doc_id: r for r in language.identified(documents(spark)).collect()}
     assert got[4].lang_pred == got[5].lang_pred == "und"
