@@ -4,7 +4,8 @@ Markup is stripped into lines, one per block element. Lines of menus, headers, f
 adverts, forms, scripts and comments, known by their elements' names, roles and classes, are left out. Classes
 and ids count as wholes; of a generic word in them, such as widget or related, links decide: in an article such
 an element of several lines goes if most of its characters are in links and few are not, elsewhere the windows tell.
-If the page marks its article, so are the lines outside; else words inside links do not count for a line's
+If the page marks its article, so are the lines outside, unless the windows find over twice as much text there
+(then teasers are marked, not the article); else words inside links do not count for a line's
 length, nor does a line of punctuation alone.
 Lengths are summed over sliding windows of lines. The text surges where the sums rise from nothing to go over
 a threshold before they fall back (over nothing, if no sum does and in a marked article), and dives where they
@@ -14,7 +15,9 @@ marked article loses whole windows of links, and stretches of short lines that s
 
 Defined results: null or empty html, and pages without such lines, give the empty string; unclosed elements
 end with the page, but an unclosed element to be left out ends at the next block; character references are
-decoded as HTML does, also without a semicolon; equal rows get equal results; nothing is cut.
+decoded as HTML does, also without a semicolon; equal rows get equal results; nothing is cut; an empty table
+gives no rows. A page of any length and however broken its tags takes time linear in its length: where a quote in a
+tag is open to the page's end, quotes in tags mean nothing from there on.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ WINDOW = 3
 #: Characters outside links that a window holds somewhere in the text of a page without a marked article.
 SURGE = 120
 ARTICLE = frozenset(("article", "main"))
+#: So many times the text of the marked articles outside them, in stretches found by windows, and the marks are
+#: those of teasers: the windows decide on the page.
+OUTWEIGHS = 2
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option "
@@ -54,7 +60,8 @@ CLASSES = frozenset(
     "cookie cookies cookie-banner cookie-bar cookie-consent cookie-law cookie-message cookie-notice "
     "cookie-popup consent-banner gdpr gdpr-banner "
     "comments comments-area comments-section comment-section comment-list comment-form comment-body "
-    "comment-respond disqus disqus-thread reply-form "
+    "comment-respond comment comment-item comment-content comment-text comment-wrapper comment-thread commentlist "
+    "reader-comments user-comments replies respond disqus disqus-thread reply-form "
     "social-icons social-links social-media social-share share-bar share-buttons share-links sharing "
     "sharing-buttons newsletter newsletter-form newsletter-signup subscribe-form signup-form login-form "
     "search-bar search-box search-form skip-link related-articles related-links related-posts".split()
@@ -68,20 +75,80 @@ WORDS = CLASSES | frozenset(
     "skip copyright legal".split()
 )
 CONTAINERS = frozenset("article div dl ol section table ul".split())
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.S,
-)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+TOKEN = re.compile(r"<!--|<!\[CDATA\[|<(/?)([a-zA-Z][^\s/>]*)|<[!?]")
+#: In a tag: its end, or where a quoted value begins.
+IN_TAG = re.compile(r">|=\s*([\"'])")
+END_TAG = re.compile(r"</([a-zA-Z][^\s/>]*)\s*>")
+#: A name and its value, if any; values are passed over with their names, so words in them are no names.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+JUDGED = frozenset(("class", "id", "role", "hidden"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 
+class Tags:
+    """The tags of a page from any place on, in time linear in the page however broken they are."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quotes = True
+        self.ends = {m[1].lower(): m.start() for m in END_TAG.finditer(page)}
+        self.small = page.lower() if len(page.lower()) == len(page) else page
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, whether it is an end tag, name, attributes); comments and the like have no name."""
+        page = self.page
+        found = TOKEN.search(page, at)
+        if found is None:
+            return None
+        start = found.start()
+        if found[0] in ("<!--", "<![CDATA["):
+            end = page.find("-->" if found[0] == "<!--" else "]]>", found.end())
+            return start, end + 3 if end >= 0 else len(page), False, "", ""
+        if start > self.last:
+            return None
+        if not found[2]:
+            return start, page.index(">", start) + 1, False, "", ""
+        end = self._end(found.end())
+        if end < 0:  # a quote is open to the end of the page: from here on, quotes mean nothing
+            self.quotes = False
+            end = self._end(found.end())
+        return start, end, found[1] == "/", found[2].lower(), page[found.end() : end - 1]
+
+    def _end(self, at: int) -> int:
+        page = self.page
+        while self.quotes:
+            found = IN_TAG.search(page, at)
+            if found is None:
+                return -1
+            if found[1] is None:
+                return found.end()
+            at = page.find(found[1], found.end()) + 1
+            if not at:
+                return -1
+        return page.find(">", at) + 1 or len(page) + 1
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Where the content of an element of no text ends, its end tag included; -1 if nothing ends it."""
+        while (at := self.small.find(f"</{name}", at)) >= 0:
+            at += len(name) + 2
+            if not self.small[at : at + 1].isalnum():
+                return self.page.find(">", at) + 1 or len(self.page)
+        return -1
+
+
+def judged(attributes: str) -> list[tuple[str, str]]:
+    """(name, value) of the attributes by which an element is judged."""
+    if not attributes:
+        return []
+    found = ((kind.lower(), "".join(values).lower()) for kind, *values in ATTRIBUTE.findall(attributes))
+    return [(kind, value) for kind, value in found if kind in JUDGED]
+
+
 def names(name: str, attributes: str, in_article: bool) -> str:
     """The classes and ids by which an element is judged; those of headings and sections may be mere anchors."""
     found = []
-    for kind, *values in ATTRIBUTE.findall(attributes):
-        kind, value = kind.lower(), "".join(values).lower().replace("_", "-")
+    for kind, value in judged(attributes):
+        value = value.replace("_", "-")
         anchor = kind == "id" and in_article and (name in HEADINGS or name == "section" and value not in SECTION_IDS)
         if kind in ("class", "id") and not anchor:
             found.append(value)
@@ -91,11 +158,8 @@ def names(name: str, attributes: str, in_article: bool) -> str:
 def left_out(name: str, attributes: str, in_article: bool) -> bool:
     if name in LEFT_OUT or (name == "header" and not in_article):
         return True
-    if not attributes:
-        return False
-    for kind, *values in ATTRIBUTE.findall(attributes):
-        if kind.lower() == "role" and "".join(values).lower() in ROLES or kind.lower() == "hidden":
-            return True
+    if any(kind == "hidden" or kind == "role" and value in ROLES for kind, value in judged(attributes)):
+        return True
     if name in ("html", "body", "main") or name == "article" and not in_article:
         return False
     return not CLASSES.isdisjoint(names(name, attributes, in_article).split())
@@ -133,11 +197,10 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
             parts.clear()
             free.clear()
 
-    at = 0
-    n = len(page)
+    at, n, tags, no_end = 0, len(page), Tags(page), set()
     while at < n:
-        tag = TOKEN.search(page, at)
-        upto = tag.start() if tag else n
+        tag = tags.next(at)
+        upto = tag[0] if tag else n
         if upto > at and not out:
             text = page[at:upto]
             parts.append(text)
@@ -145,15 +208,15 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
                 free.append(text)
         if not tag:
             break
-        at = tag.end()
-        name = (tag[2] or "").lower()
+        _, at, closing, name, attributes = tag
         if not name:
             continue
-        closing = tag[1] == "/"
         if name in RAW:
-            if not closing:
-                ended = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = ended.end() if ended else at
+            if not closing and name not in no_end:
+                end = tags.raw_end(name, at)
+                if end < 0:
+                    no_end.add(name)
+                at = max(at, end)
             continue
         if name == "br":
             if not out:
@@ -183,18 +246,18 @@ def lines_of(page: str) -> list[tuple[str, str, bool]]:
             elif name == "a":
                 link = 0
             continue
-        if left_out(name, tag[3] or "", article > 0):
-            if re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at):
+        if left_out(name, attributes, article > 0):
+            if tags.ends.get(name, -1) >= at:
                 out.append(name)
             elif name in BLOCKS:
-                following = TOKEN.search(page, at)
-                while following and (following[2] or "").lower() not in BLOCKS:
-                    following = TOKEN.search(page, following.end())
-                at = following.start() if following else n
+                following = tags.next(at)
+                while following and following[3] not in BLOCKS:
+                    following = tags.next(following[1])
+                at = following[0] if following else n
             continue
         if name in CONTAINERS:
-            judged = article > 0 and may_be_links(name, tag[3] or "")
-            opened[name].append((len(lines), held, held_free) if judged else None)
+            links = article > 0 and may_be_links(name, attributes)
+            opened[name].append((len(lines), held, held_free) if links else None)
         if name in ARTICLE:
             article += 1
         elif name == "a":
@@ -223,17 +286,25 @@ def stretches(lengths: list[int], threshold: int) -> list[tuple[int, int]]:
     return found
 
 
+def unmarked(lines: list[tuple[str, str, bool]]) -> list[tuple[int, int]]:
+    """The stretches of a page by its windows alone."""
+    lengths = [len(free) if any(map(str.isalnum, free)) else 0 for _, free, _ in lines]
+    if not any(lengths):
+        lengths = [len(free) for _, free, _ in lines]
+    return stretches(lengths, SURGE) or stretches(lengths, 1)
+
+
 def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
-    if any(inside for _, _, inside in lines):
-        lines = [line for line in lines if line[2]]
-        found = stretches([len(text) for text, _, _ in lines], 1)
-    else:
-        lengths = [len(free) if any(map(str.isalnum, free)) else 0 for _, free, _ in lines]
-        if not any(lengths):
-            lengths = [len(free) for _, free, _ in lines]
-        found = stretches(lengths, SURGE) or stretches(lengths, 1)
-    return "\n".join(text for first, last in found for text, _, _ in lines[first : last + 1])
+    inside = [line for line in lines if line[2]]
+    if inside:
+        outside = [("" if marked else text, "" if marked else free, False) for text, free, marked in lines]
+        beside = sum(len(outside[i][1]) for first, last in unmarked(outside) for i in range(first, last + 1))
+        if beside <= OUTWEIGHS * sum(len(free) for _, free, _ in inside):
+            lines = inside
+            found = stretches([len(text) for text, _, _ in lines], 1)
+            return "\n".join(text for first, last in found for text, _, _ in lines[first : last + 1])
+    return "\n".join(text for first, last in unmarked(lines) for text, _, _ in lines[first : last + 1])
 
 
 def measure(column: pa.Array) -> dict:

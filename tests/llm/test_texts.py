@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import html.parser
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -332,6 +334,95 @@ def test_names_and_lists_of_links_take_lines_away():
     assert html_text.main_text(headline) == f"Title\n{BODY}"
 
 
+@pytest.mark.parametrize(
+    "element",
+    [
+        'div style="overflow:hidden"', 'p aria-hidden="false"', 'p title="hidden gem"', 'p data-x="class=ad"', "p data-id='id=nav'",
+        'a href="/x?id=nav"', 'a href="/hidden/x"', 'p title="a > b" data-role=search', "p title='x' alt=\"class='ad'\"",
+    ],
+)
+def test_words_in_values_are_no_attributes(element):
+    name = element.split()[0]
+    page = f"<article><p>{BODY}</p><p>Some <{element}>kept words</{name}> here.<p>{BODY}</article>"
+    assert html_text.main_text(page).replace("\n", " ") == f"{BODY} Some kept words here. {BODY}"
+
+
+def test_hidden_and_comments_go_and_teasers_do_not_win():
+    for element in ("p hidden", "div hidden=''", 'div class="comment"', 'li class="comment depth-1"', "section role=search"):
+        page = f"<article><p>{BODY}</p><{element}>Gone</{element.split()[0]}><p>End.</article>"
+        assert html_text.main_text(page) == f"{BODY}\nEnd."
+    teaser = "<article><h3>Teaser</h3></article>" * 3
+    assert html_text.main_text(f"<div><p>{BODY * 4}</p><p>{BODY}</p></div>{teaser}").startswith(BODY)
+    assert html_text.main_text(f"<article><p>{BODY * 4}</article><p>{BODY}</p>") == BODY * 4
+
+
+MEGABYTE = [
+    '<p "', '<div class="ad">', "<a b='", "<script>", "</script", "<!", "<![CDATA[", "<!--", '<p a="b" c', "<", "<x1 class=ad>",
+    "<b>", "text ", "<li hidden>", "= \"", "<p a = ", " ", "<style></style>", "&", "<td class='x y'><a href=1>z</a>",
+]
+
+
+@pytest.mark.parametrize("unit", MEGABYTE, ids=range(len(MEGABYTE)))
+def test_a_megabyte_of_anything_is_read_in_time(unit):
+    for page in (unit * (1_000_000 // len(unit)), unit * (1_000_000 // len(unit)) + ">"):
+        start = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - start < 12
+
+
+class Walk(html.parser.HTMLParser):
+    """A plain second reading of simple pages: blocks of an article outside of a few elements and classes."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.lines, self.parts = [], [], []
+
+    def line(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.lines.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        own = dict(attrs)
+        if tag in html_text.BLOCKS and not any(gone for _, gone in self.open):
+            self.line()
+        gone = tag in ("nav", "aside", "footer", "script", "form") or "hidden" in own
+        gone = gone or bool({"ad", "comment"} & set((own.get("class") or "").split()))
+        self.open.append((tag, gone))
+
+    def handle_endtag(self, tag):
+        if tag in html_text.BLOCKS and not any(gone for _, gone in self.open):
+            self.line()
+        self.open.pop()
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.open) and not any(gone for _, gone in self.open):
+            self.parts.append(data)
+
+
+def elements(depth):
+    words = st.sampled_from(["one ", "two &amp; ", "thr&eacute;e", " x&lt;y ", "\n", "é 中 "])
+    attributes = st.sampled_from(
+        ["", ' class="ad"', " class='big comment'", ' title="class=ad"', " hidden", ' data-hidden="x"', ' style="a:hidden"', ' id="x1"']
+    )
+    if not depth:
+        return words
+    names = st.sampled_from(["p", "div", "b", "span", "section", "nav", "aside", "h2", "i"])
+    inner = st.lists(elements(depth - 1), max_size=4).map("".join)
+    return st.one_of(words, st.builds(lambda n, a, t: f"<{n}{a}>{t}</{n}>", names, attributes, inner))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(elements(3), max_size=6))
+def test_article_against_a_walk_by_the_standard_parser(parts):
+    page = f"<html><body><nav>Menu</nav><article>{''.join(parts)}</article><footer>Foot</footer></body></html>"
+    walk = Walk()
+    walk.feed(page)
+    walk.close()
+    assert html_text.main_text(page) == "\n".join(walk.lines)
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</div></p>", "<nav>x", "<div class=ad>x"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "<", "<p", "x")
