@@ -22,6 +22,7 @@ tag is open to the page's end, quotes in tags mean nothing from there on.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -81,6 +82,7 @@ IN_TAG = re.compile(r">|=\s*([\"'])")
 END_TAG = re.compile(r"</([a-zA-Z][^\s/>]*)\s*>")
 #: A name and its value, if any; values are passed over with their names, so words in them are no names.
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+SMALL = {c: c + 32 for c in range(65, 91)}
 JUDGED = frozenset(("class", "id", "role", "hidden"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -91,8 +93,16 @@ class Tags:
     def __init__(self, page: str):
         self.page, self.last = page, page.rfind(">")
         self.quotes = True
-        self.ends = {m[1].lower(): m.start() for m in END_TAG.finditer(page)}
-        self.small = page.lower() if len(page.lower()) == len(page) else page
+
+    @functools.cached_property
+    def ends(self) -> dict[str, int]:
+        """Where the last end tag of every name starts."""
+        return {m[1].lower(): m.start() for m in END_TAG.finditer(self.page)}
+
+    @functools.cached_property
+    def small(self) -> str:
+        """The page with small letters, every sign at its place."""
+        return self.page.translate(SMALL)
 
     def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
         """(start, end, whether it is an end tag, name, attributes); comments and the like have no name."""
