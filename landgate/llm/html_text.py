@@ -102,7 +102,8 @@ class Tags:
     @functools.cached_property
     def small(self) -> str:
         """The page with small letters, every sign at its place."""
-        return self.page.translate(SMALL)
+        small = self.page.lower()
+        return small if len(small) == len(self.page) else self.page.translate(SMALL)
 
     def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
         """(start, end, whether it is an end tag, name, attributes); comments and the like have no name."""
@@ -118,6 +119,8 @@ class Tags:
             return None
         if not found[2]:
             return start, page.index(">", start) + 1, False, "", ""
+        if page[found.end()] == ">":
+            return start, found.end() + 1, found[1] == "/", found[2].lower(), ""
         end = self._end(found.end())
         if end < 0:  # a quote is open to the end of the page: from here on, quotes mean nothing
             self.quotes = False
