@@ -510,7 +510,8 @@ def _cut_again(pieces: DataFrame, starts: DataFrame, cut: DataFrame, faults: Dat
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()), strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "text"])
 
-    found = done.join(files, "file", "left_semi").union(texts.mapInArrow(run, "file string, kind int, text string"))
+    crossing = stored(texts.mapInArrow(run, "file string, kind int, text string"))
+    found = done.join(files, "file", "left_semi").union(crossing)
     return found.select(F.col("text").alias("value"), (F.col("kind") == RECORD).alias("is_record")), files
 
 
