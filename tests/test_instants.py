@@ -1,0 +1,89 @@
+import datetime
+import random
+
+from pyspark.sql import functions as F
+
+from landgate.operators.instants import as_of_pairs
+
+OPEN = datetime.date(9999, 12, 31)
+DAY = datetime.date(2026, 1, 1)
+
+
+def day(n):
+    return DAY + datetime.timedelta(days=n)
+
+
+def brute(versions, asked):
+    return sorted(
+        (a, d, k)
+        for i, a, d in [(i, n, d) for n, (i, d) in enumerate(asked)]
+        for k, (vi, start, end) in enumerate(versions)
+        if i is not None and d is not None and vi == i and start and end and start <= d <= end
+    )
+
+
+def pairs(spark, versions, asked, **more):
+    df = spark.createDataFrame(
+        [(k, *v) for k, v in enumerate(versions)],
+        "k int, identifier string, effective_start_date date, effective_end_date date",
+    )
+    wanted = spark.createDataFrame([(n, *a) for n, a in enumerate(asked)], "n int, identifier string, date date")
+    return as_of_pairs(df, wanted, **more)
+
+
+def got(rows):
+    return sorted((r.asked_n, r.asked_date, r.k) for r in rows.collect())
+
+
+def test_pairs_are_those_of_every_date_with_every_version(spark):
+    dice = random.Random(3)
+    versions, asked = [], []
+    for _ in range(900):
+        start = dice.randrange(-50, 420)
+        end = OPEN if dice.random() < 0.4 else day(start + dice.choice([-1, 0, 1, 5, 63, 64, 65, 300]))
+        # one instrument in three rows is the same
+        versions.append((dice.choice(["hot", f"i{dice.randrange(30)}"]), day(start), end))
+    for _ in range(300):
+        asked.append((dice.choice(["hot", f"i{dice.randrange(33)}"]), day(dice.randrange(0, 400))))
+    asked += asked[:20]
+    versions += versions[:20]
+    want = brute(versions, asked)
+    assert len(want) > 5000
+    assert got(pairs(spark, versions, asked)) == want
+    assert got(pairs(spark, versions, asked, spread_rows=7)) == want
+
+
+def test_ends_gaps_nulls_and_single_days(spark):
+    versions = [
+        ("a", day(0), day(9)), ("a", day(10), OPEN), ("a", None, OPEN), ("a", day(0), None),
+        (None, day(0), OPEN), ("b", day(5), day(4)), ("b", day(6), day(6)),
+    ]
+    asked = [("a", day(-1)), ("a", day(0)), ("a", day(9)), ("a", day(10)), ("b", day(4)), ("b", day(6)), (None, day(6)),
+             ("a", None), ("none", day(3))]
+    assert got(pairs(spark, versions, asked)) == brute(versions, asked)
+    assert got(pairs(spark, versions, [("b", day(6))])) == [(0, day(6), 6)]
+
+
+def test_empty_sides_give_no_pairs_with_the_same_columns(spark):
+    columns = ["asked_n", "asked_identifier", "asked_date", "k", "identifier", "effective_start_date", "effective_end_date"]
+    for versions, asked in (([], [("a", day(1))]), ([("a", day(0), OPEN)], []), ([("a", day(0), OPEN)], [("a", None)])):
+        rows = pairs(spark, versions, asked)
+        assert rows.columns == columns and rows.count() == 0
+
+
+def test_the_plan_compares_no_dates_in_a_loop(spark):
+    rows = pairs(spark, [("a", day(0), OPEN)] * 3, [("a", day(1)), ("a", day(90))])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_crowded_block_is_dealt_to_many_keys(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pairs(spark, [("a", day(0), day(i + 500)) for i in range(400)], [("a", day(1)), ("a", day(400))], spread_rows=20)
+        sizes = [r[1] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 800 and max(sizes) < 400

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landgate.operators import risk as R
+from landgate.operators.instants import as_of_pairs as pairs_in_force
 from landgate.operators.quality import check_rules, within
 from workloads.rounding import AVG_METRIC, stable
 from workloads.risk_rows import METRIC, risk_rows, risk_sql
@@ -61,6 +62,17 @@ def as_of(spark, sf):
     return R.as_of(risk_rows(spark, sf), "1997-06-30")
 
 
+def as_of_pairs(spark, sf):
+    """For every order, what was in force for its customer on its day, and for the hot instrument as well."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    asked = orders.select(
+        F.expr("concat('ID', CAST(CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE o_custkey END AS STRING))").alias("identifier"),
+        F.col("o_orderdate").cast("date").alias("date"),
+        F.col("o_orderkey").alias("order"),
+    )
+    return pairs_in_force(risk_rows(spark, sf), asked).select("asked_order", "asked_date", "identifier", "k", "metric_value")
+
+
 def proxied(spark, sf):
     return R.proxied_report(risk_rows(spark, sf))
 
@@ -189,6 +201,13 @@ QUERIES = {
         risk_sql(f"""SELECT {ALL} FROM risk
             WHERE DATE '1997-06-30' BETWEEN effective_start_date AND effective_end_date"""),
     ),
+    "as_of_pairs": (
+        as_of_pairs,
+        risk_sql("""SELECT a.o_orderkey AS asked_order, CAST(a.o_orderdate AS DATE) AS asked_date, r.identifier, r.k, r.metric_value
+            FROM orders a JOIN risk r
+              ON r.identifier = concat('ID', CAST(CASE WHEN a.o_orderkey % 50 = 0 THEN 0 ELSE a.o_custkey END AS STRING))
+              AND CAST(a.o_orderdate AS DATE) BETWEEN r.effective_start_date AND r.effective_end_date"""),
+    ),
     "proxied": (
         proxied,
         risk_sql(f"""SELECT identifier_type, identifier, metric_name, metric_value, is_proxied
