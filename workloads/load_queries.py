@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from landgate.functions.reports import field_profile
 from landgate.functions.variant import to_variant, variant_fields
+from landgate.operators.layout import files_touched, interleaved
 from landgate.operators.quality import split_valid
 from landgate.operators.tables import append_table, clustered, create_target, overwrite_table
 from landgate.plans.load import LoadConfig, run_load
@@ -167,6 +168,32 @@ def clustered_table(spark, sf):
     return read_and_drop(spark, name)
 
 
+#: The keys by which the risk table is laid out here; its rows carry no file name.
+LAYOUT_KEYS = ("k", "effective_end_date", "identifier_type", "asset_class")
+#: Files per layout that the two are compared with.
+LAYOUT_FILES = 64
+
+
+def _laid_out(spark, sf, layout, **more):
+    where = workspace(spark, "layout")
+    layout(risk_rows(spark, sf), LAYOUT_KEYS, **more).write.parquet(where)
+    return spark.read.parquet(where)
+
+
+def interleaved_table(spark, sf):
+    return _laid_out(spark, sf, interleaved, spread=["identifier", "metric_name"])
+
+
+def layout_pruned(spark, sf):
+    """Files that a lookup of one value reaches, per key, in range order and along the curve."""
+    ranged = files_touched(_laid_out(spark, sf, clustered, spread=["identifier"], partitions=LAYOUT_FILES), LAYOUT_KEYS)
+    curve = files_touched(_laid_out(spark, sf, interleaved, partitions=LAYOUT_FILES), LAYOUT_KEYS)
+    return (
+        ranged.withColumnsRenamed({"files": "range_files", "touched": "range_touched"})
+        .join(curve.withColumnsRenamed({"files": "curve_files", "touched": "curve_touched"}), "key")
+    )
+
+
 def schema_report(spark, sf):
     valid, _ = split_valid(read_json(spark, land_trades(spark, sf), TRADE, multiline=False))
     return field_profile(valid).select("path", "type", "present")
@@ -260,6 +287,8 @@ QUERIES = {
         "SELECT c_custkey AS cust_id, c_name AS name, true AS stamped FROM customer",
     ),
     "clustered_table": (clustered_table, risk_sql(f"SELECT {ALL} FROM risk")),
+    "interleaved_table": (interleaved_table, risk_sql(f"SELECT {ALL} FROM risk")),
+    "layout_pruned": (layout_pruned, None),
     "schema_report": (
         schema_report,
         GOOD
