@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landgate.plans.values import comparable, profile_values
+
 DIMENSION, TIME_DIMENSION, FACT, METRIC = "dimension", "time_dimension", "fact", "metric"
 LISTING = "name string, kind string, expression string, comment string"
 
@@ -154,7 +156,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggregates.append(F.count_if(c.isNull()).alias(f"nulls_{i}"))
-        if _comparable(f.dataType):
+        if comparable(f.dataType):
             aggregates += [
                 F.approx_count_distinct(c).alias(f"distinct_{i}"),
                 F.min(c).cast("string").alias(f"low_{i}"),
@@ -163,7 +165,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     one = df.agg(*aggregates)
     entries = []
     for i, f in enumerate(df.schema.fields):
-        known = _comparable(f.dataType)
+        known = comparable(f.dataType)
         entries.append(
             F.struct(
                 F.lit(f.name).alias("name"),
@@ -181,30 +183,32 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(*entries)))
 
 
-def _comparable(type_: T.DataType) -> bool:
-    if isinstance(type_, T.ArrayType):
-        return _comparable(type_.elementType)
-    if isinstance(type_, T.StructType):
-        return all(_comparable(f.dataType) for f in type_.fields)
-    return not isinstance(type_, (T.VariantType, T.MapType))
-
-
 def draft_model(
     df: DataFrame,
     name: str,
     table: str,
     description: str = "",
     verified: Sequence[VerifiedQuery] = (),
+    samples: int = 0,
 ) -> SemanticModel:
     """A first model of a table, one item per column, commented from ``profile_columns``.
 
-    The profile has one row per column, so it is read on the driver whatever the table's size.
+    With ``samples`` the comments hold the exact number of values, that many frequent ones and as many samples
+    (``profile_values``), each cut to 40 characters; that is a second aggregation, with a shuffle of
+    all values, so it is asked for. The profiles have one row per column, so they are read on the driver whatever
+    the table's size.
     """
     items: dict[str, list[Item]] = {DIMENSION: [], FACT: []}
+    values = {r["name"]: r for r in profile_values(df, samples, samples).collect()} if samples else {}
     for row in profile_columns(df).collect():
         filled = 100.0 * (row["rows"] - row["nulls"]) / row["rows"] if row["rows"] else 0.0
         comment = f"{row['type']}, {filled:.1f}% filled"
-        if row["approx_distinct"]:
+        if row["name"] in values:
+            seen = values[row["name"]]
+            comment += f", {seen['distinct']} values from {row['low']} to {row['high']}"
+            for what in ("frequent", "samples"):
+                comment += f", {what}: {', '.join(v[:40] for v in seen[what])}"
+        elif row["approx_distinct"]:
             comment += (
                 f", about {row['approx_distinct']} values from {row['low']} to {row['high']}"
             )

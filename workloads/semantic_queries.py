@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landgate.plans.semantic import FACT, Item, SemanticModel, profile_columns, query
+from landgate.plans.semantic import draft_model as draft
 from workloads.risk_rows import risk_rows, risk_sql
 from workloads.rounding import AVG_METRIC, stable
 
@@ -58,18 +59,21 @@ def semantic_limit(spark, sf):
 
 
 def draft_model(spark, sf):
-    return profile_columns(risk_rows(spark, sf))
+    """The items of the model drafted of the risk table, each with all that its comment says of the column."""
+    model = draft(risk_rows(spark, sf), "drafted", "risk", samples=3)
+    rows = [(i.name, i.kind, i.comment) for i in model.items()]
+    return spark.createDataFrame(rows, "name string, kind string, comment string")
 
 
 PROFILED = ("name", "kind", "type", "rows", "nulls", "low", "high")
 
 
 def semantic_dimensions(spark, sf):
-    return draft_model(spark, sf).filter(F.col("kind") != FACT).select(*PROFILED)
+    return profile_columns(risk_rows(spark, sf)).filter(F.col("kind") != FACT).select(*PROFILED)
 
 
 def semantic_facts(spark, sf):
-    return draft_model(spark, sf).filter(F.col("kind") == FACT).select(*PROFILED)
+    return profile_columns(risk_rows(spark, sf)).filter(F.col("kind") == FACT).select(*PROFILED)
 
 
 def _profile_sql(columns: dict[str, tuple[str, str]]) -> str:
@@ -89,6 +93,27 @@ TEXTS = (
 )
 DATES = ("effective_start_date", "as_of_date", "effective_end_date")
 
+FACTS = {"metric_value": ("fact", "double"), "k": ("fact", "bigint")}
+DIMENSIONS = {c: ("dimension", "string") for c in TEXTS} | {c: ("time_dimension", "date") for c in DATES}
+
+
+def _listed(c: str, order: str) -> str:
+    return f"""(SELECT coalesce(string_agg(v, ', ' ORDER BY place), '') FROM (SELECT v, row_number() OVER (ORDER BY {order}) AS place
+        FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM risk WHERE {c} IS NOT NULL GROUP BY 1)) WHERE place <= 3)"""
+
+
+def _drafted_sql() -> str:
+    return risk_sql(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS name, '{kind}' AS kind, concat('{type_}, ',
+            printf('%.1f', 100.0 * count({c}) / count(*)), '% filled, ', count(DISTINCT {c}), ' values from ',
+            CAST(min({c}) AS VARCHAR), ' to ', CAST(max({c}) AS VARCHAR),
+            ', frequent: ', {_listed(c, "n DESC, v")}, ', samples: ', {_listed(c, "md5(v), v")}) AS comment FROM risk"""
+            for c, (kind, type_) in (DIMENSIONS | FACTS).items()
+        )
+    )
+
+
 QUERIES = {
     "semantic_rows": (
         semantic_rows,
@@ -112,14 +137,11 @@ QUERIES = {
     ),
     "semantic_dimensions": (
         semantic_dimensions,
-        _profile_sql(
-            {c: ("dimension", "string") for c in TEXTS}
-            | {c: ("time_dimension", "date") for c in DATES}
-        ),
+        _profile_sql(DIMENSIONS),
     ),
     "semantic_facts": (
         semantic_facts,
-        _profile_sql({"metric_value": ("fact", "double"), "k": ("fact", "bigint")}),
+        _profile_sql(FACTS),
     ),
-    "draft_model": (draft_model, None),
+    "draft_model": (draft_model, _drafted_sql()),
 }
