@@ -12,11 +12,12 @@ from landgate.functions.variant import to_variant, variant_fields
 from landgate.operators.layout import files_touched, interleaved
 from landgate.operators.quality import split_valid
 from landgate.operators.tables import append_table, clustered, create_target, overwrite_table
+from landgate.plans.incremental import load_new
 from landgate.plans.load import LoadConfig, run_load
 from landgate.schemas import TRADE, TargetColumn
 from landgate.sources.json_records import read_json
 from landgate.workspace import workspace
-from workloads.landed import TRADES_JUDGED, land_trades
+from workloads.landed import TRADES, TRADES_JUDGED, land_trades, trade_lines
 from workloads.risk_queries import ALL
 from workloads.risk_rows import risk_rows, risk_sql
 
@@ -141,6 +142,30 @@ def audit(spark, sf):
     )
 
 
+def landing_new(spark, sf):
+    """Two thirds of the trade lines landed and loaded, then the rest, and then nothing: by which run each line
+    came, and what the ledger says of all files and of the third run."""
+    landing, rows = workspace(spark, "landing"), trade_lines(spark, sf)
+    table, ledger = _name("lines"), _name("files")
+    where = {"table_path": workspace(spark, "lines"), "ledger_path": workspace(spark, "files")}
+    reports = []
+    for lines in (rows.filter("k % 3 <> 0"), rows.filter("k % 3 = 0"), None):
+        if lines is not None:
+            lines.select("raw").write.mode("append").text(landing)
+        reports.append(load_new(spark, landing, table, ledger, spark.read.text, max_files=5, **where))
+    entered = spark.table(ledger).agg(
+        F.sum("rows").alias("ledger_rows"), F.count_if(F.col("status") != "LANDED").alias("not_landed")
+    ).first()
+    by_run = F.when(F.col("batch_id").isin(list(reports[0].batches)), 1).when(F.col("batch_id").isin(list(reports[1].batches)), 2)
+    lines = spark.read.schema(spark.table(table).schema).parquet(where["table_path"])
+    for name in (ledger, table):
+        spark.sql(f"DROP TABLE {name}")
+    return lines.select(
+        F.col("value").alias("raw"), by_run.alias("run"), F.lit(reports[2].rows + reports[2].landed).cast("long").alias("again"),
+        *[F.lit(n).cast("long").alias(c) for c, n in entered.asDict().items()],
+    )
+
+
 def declared_insert(spark, sf):
     spec = (
         TargetColumn("cust_id", "bigint", "c_custkey", required=True),
@@ -282,6 +307,11 @@ QUERIES = {
             100.0 * CAST(count(*) FILTER (NOT good) AS DOUBLE) / count(*) AS invalid_pct
             FROM judged""",
     ),
+    "landing_new": (
+        landing_new,
+        f"""SELECT raw, CASE WHEN k % 3 <> 0 THEN 1 ELSE 2 END AS run, CAST(0 AS BIGINT) AS again,
+            (SELECT count(*) FROM orders) AS ledger_rows, CAST(0 AS BIGINT) AS not_landed FROM ({TRADES})""",
+    ),
     "declared_insert": (
         declared_insert,
         "SELECT c_custkey AS cust_id, c_name AS name, true AS stamped FROM customer",
