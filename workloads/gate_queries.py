@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from landgate.operators import quality as Q
+from landgate.operators.drift import declared_types
+from landgate.operators.drift import schema_drift as drift
 from landgate.plans.gate import GateConfig, gate_records, run_gate
 from landgate.schemas import BILLING, BILLING_KEY_FIELDS, CORRUPT, TRADE
 from landgate.sources.landing import land
@@ -90,6 +92,11 @@ def reject_causes(spark, sf):
     return parts[0].union(parts[1])
 
 
+def schema_drift(spark, sf):
+    """What the raw trade lines hold against their declared schema, broken lines included."""
+    return drift(trade_lines(spark, sf), TRADE, text="raw", skip=CORRUPT)
+
+
 def reject_sample(spark, sf):
     return Q.reject_sample(Q.split_valid(_trades(spark, sf))[1], n=5, width=30)
 
@@ -208,6 +215,30 @@ def billing_labels(spark, sf):
 GOOD_TRADES = f"{TRADES_JUDGED}, good AS (SELECT * FROM judged WHERE good)"
 
 
+def _drift_sql() -> str:
+    declared = {p: t.simpleString() for p, t in declared_types(TRADE, skip=CORRUPT).items()}
+    kind = """CASE json_type(safe, '$.{}') WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer'
+        WHEN 'DOUBLE' THEN 'number' ELSE lower(json_type(safe, '$.{}')) END"""
+    seen = " UNION ALL ".join(
+        f"SELECT '{p}' AS path, {kind.format(p, p)} AS found, count(*) AS records FROM parsed"
+        f" WHERE json_type(safe, '$.{p}') IS NOT NULL GROUP BY 2"
+        for p in declared if p != "$" and not p.endswith("[]")
+    )
+    names = ", ".join(f"('{p}', '{t}')" for p, t in declared.items())
+    return f"""WITH parsed AS (
+          SELECT json_valid(raw) AS readable, CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS safe FROM ({TRADES})),
+        seen AS (SELECT '$' AS path, CASE WHEN readable THEN 'object' ELSE 'broken' END AS found, count(*) AS records
+          FROM parsed GROUP BY 2 UNION ALL {seen}),
+        names(path, declared) AS (VALUES {names})
+        SELECT path, declared, found, CAST(coalesce(records, 0) AS BIGINT) AS records,
+          CASE WHEN found IS NULL THEN 'never seen' WHEN found = 'broken' THEN 'broken' WHEN declared IS NULL THEN 'undeclared'
+            WHEN found = 'null' THEN 'null' WHEN declared = 'string' THEN 'fits'
+            WHEN declared LIKE 'struct%' AND found = 'object' OR declared LIKE 'array%' AND found = 'array' THEN 'fits'
+            WHEN declared IN ('bigint', 'int', 'double') AND found = 'integer' OR declared = 'double' AND found = 'number'
+              THEN 'fits' ELSE 'wrong type' END AS verdict
+        FROM seen FULL JOIN names USING (path)"""
+
+
 def _null_stats_sql(source: str, keys) -> str:
     parts = [
         f"""SELECT '{c}' AS field, count(*) FILTER (json_extract_string(raw, '$.{c}') IS NULL) AS nulls,
@@ -231,6 +262,7 @@ def _rules_sql(source: str, rules: list[tuple[str, str, str]]) -> str:
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 
 QUERIES = {
+    "schema_drift": (schema_drift, _drift_sql()),
     "gate_counts": (
         gate_counts,
         TRADES_JUDGED
