@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from landgate.plans.rollup import answer, build_rollup
 from landgate.plans.semantic import FACT, Item, SemanticModel, profile_columns, query
 from landgate.plans.semantic import draft_model as draft
 from workloads.risk_rows import risk_rows, risk_sql
@@ -45,6 +46,23 @@ def semantic_metrics(spark, sf):
     return stable(answer, "avg_metric_value")
 
 
+def semantic_rollup(spark, sf):
+    """Two dimensions of a roll-up of five, under a filter on a third."""
+    rows = risk_rows(spark, sf)
+    rollup = build_rollup(
+        MODEL, rows, ["identifier_type", "asset_class", "region", "scenario_name", "start_year"],
+        {
+            "avg_metric_value": ("avg", "metric_value"), "total_record_count": ("count", "*"),
+            "instrument_count": ("distinct", "identifier"),
+        },
+    )
+    asked = answer(
+        rollup, rows, ["identifier_type", "start_year"], ["avg_metric_value", "total_record_count", "instrument_count"],
+        where="scenario_name <> 'RCP 4.5'",
+    )
+    return stable(asked, "avg_metric_value")
+
+
 def semantic_totals(spark, sf):
     answer = query(
         MODEL, risk_rows(spark, sf), [], metrics=["avg_metric_value", "total_record_count"]
@@ -130,6 +148,13 @@ QUERIES = {
             count(DISTINCT identifier) AS instrument_count
             FROM risk WHERE {CURRENT.replace("DATE'", "DATE '")} GROUP BY 1, 2"""),
     ),
+    "semantic_rollup": (
+        semantic_rollup,
+        risk_sql(f"""SELECT identifier_type, CAST(year(effective_start_date) AS INTEGER) AS start_year,
+            {AVG_METRIC} AS avg_metric_value, count(*) AS total_record_count,
+            count(DISTINCT identifier) AS instrument_count
+            FROM risk WHERE scenario_name <> 'RCP 4.5' GROUP BY 1, 2"""),
+    ),
     "semantic_totals": (
         semantic_totals,
         risk_sql(f"""SELECT {AVG_METRIC} AS avg_metric_value,

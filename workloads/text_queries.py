@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landgate.functions.text import chunk_text, join_lines
 from landgate.functions.variant import json_fields, response_problems
+from landgate.plans.results import Results
 from landgate.sources.landing import land, list_landing
 from landgate.sources.text_lines import read_lines
 from landgate.workspace import workspace
@@ -43,12 +44,14 @@ def limit_sorted(spark, sf):
 
 
 def earlier_result(spark, sf):
-    """A named result, and a scalar of it, used by later queries."""
-    best = _table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("best"))
-    best.createOrReplaceTempView("_earlier")
-    spark.sql("DECLARE OR REPLACE VARIABLE _top DOUBLE")
-    spark.sql("SET VAR _top = (SELECT max(best) FROM _earlier)")
-    return spark.sql("SELECT c_mktsegment, best, best = _top AS is_top FROM _earlier")
+    """A result, and a scalar of it, kept by an earlier question and used by later ones."""
+    results = Results(spark)
+
+    def best():
+        return _table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.max("c_acctbal").alias("best"))
+
+    top = results.scalar(results.get(best()).agg(F.max("best")))
+    return results.get(best()).withColumn("is_top", F.col("best") == F.lit(top))
 
 
 def variant_from_events(spark, sf):
