@@ -3,7 +3,9 @@
 The automaton accepts every run of words that stands in some template. A text streams through it: at each
 word it knows the longest run ending there that a template holds (the matching statistics). Long runs are
 chained per template when they lie in the same order and close together in text and template; a chain that
-covers enough of its template is a licence span. Base phrases are templates too: one stands at every
+covers enough of its template is a licence span. Of spans in the same place that would give different labels,
+the one that accounts for most words counts, so that a notice is not also one of a licence whose name is a part of
+its own. Base phrases are templates too: one stands at every
 place where the current run ends with it.
 
 Words that no template holds, and pairs of neighbours that no template holds, break every run, so only
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left, insort
 from collections import deque
 
 import numpy as np
@@ -34,8 +37,18 @@ BASE = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Notices by label, as their licences word them.
-TEMPLATES = (
+#: What Creative Commons licences are called, by label, and the words after a version.
+CREATIVE_COMMONS = {
+    "cc-by": "attribution",
+    "cc-by-sa": "attribution sharealike",
+    "cc-by-nd": "attribution noderivatives",
+    "cc-by-nc": "attribution noncommercial",
+    "cc-by-nc-sa": "attribution noncommercial sharealike",
+    "cc-by-nc-nd": "attribution noncommercial noderivatives",
+}
+VERSIONS = ("4 0 international", "3 0 unported", "2 5 generic", "2 0 generic")
+#: Notices by label, as their licences word them.
+NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
      "and associated documentation files the software to deal in the software without restriction "
      "including without limitation the rights to use copy modify merge publish distribute sublicense "
@@ -53,13 +66,45 @@ TEMPLATES = (
     ("gpl-3", "gnu general public license version 3"),
     ("lgpl", "gnu lesser general public license"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or "
      "neighboring rights to this work"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not "
+     "limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+     "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+     "software and accompanying documentation covered by this license the software to use reproduce display "
+     "distribute execute and transmit the software"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors "
+     "be held liable for any damages arising from the use of this software"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied "
+     "warranties including but not limited to the implied warranties of merchantability and fitness for a "
+     "particular purpose are disclaimed"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+     "lesser general public license as published by the free software foundation"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+     "affero general public license as published by the free software foundation"),
+    ("agpl", "gnu affero general public license"),
+    ("mpl-2", "mozilla public license version 2 0"),
+    ("epl-2", "made available under the terms of the eclipse public license 2 0"),
 )
+
+
+def _creative_commons() -> tuple[tuple[str, str], ...]:
+    """The notices of all licences, with and without a version, and their short names."""
+    long = [
+        (label, f"licensed under a creative commons {name}{version} license")
+        for label, name in CREATIVE_COMMONS.items()
+        for version in ("", *[f" {v}" for v in VERSIONS])
+    ]
+    short = [(label, f"{label.replace('-', ' ')} {v[:3]}") for label in CREATIVE_COMMONS for v in VERSIONS]
+    return (*long, *short)
+
+
+TEMPLATES = (*NOTICES, *_creative_commons())
 #: Shortest run that is chained, largest step between two runs of a chain in text and template, and the
 #: covered part from which on a chain counts, for templates of more than SHORT words; others need all.
 MIN_RUN, MAX_GAP, MIN_COVERED, SHORT = 3, 8, 0.75, 8
@@ -241,8 +286,15 @@ class Scanner:
         for k, own in runs.items():
             label, length = self.templates[k - len(self.base)][0], self.lengths[k]
             for start, end, covered in self._chains(sorted(own), length):
-                found.append({"label": label, "start": start, "end": end, "covered": min(1.0, covered / length)})
-        return sorted(found, key=lambda s: (s["start"], s["end"], s["label"]))
+                found.append((covered, min(1.0, covered / length), label, start, end))
+        found.sort(key=lambda s: (-s[0], -s[1], s[2], s[3]))
+        longest = max((end - start for *_, start, end in found), default=0)
+        kept: list[tuple[int, int, str, float]] = []
+        for _, part, label, start, end in found:
+            near = kept[bisect_left(kept, (start - longest,)) : bisect_left(kept, (end,))]
+            if not any(l != label and 2 * (min(end, e) - max(start, s)) > end - start for s, e, l, _ in near):
+                insort(kept, (start, end, label, part))
+        return [{"label": label, "start": start, "end": end, "covered": part} for start, end, label, part in kept]
 
 
 @functools.lru_cache(maxsize=2)

@@ -110,6 +110,67 @@ def test_licence_spans_without_a_short_phrase(k):
         assert own[0]["covered"] <= (len(mit) - k) / len(mit) + 1e-9
 
 
+def test_every_notice_gets_its_own_label_alone():
+    others = "some other words stand here"
+    for label, text in licenses.TEMPLATES:
+        words_ = text.split()
+        cases = [text, f"{others} {text} {others}"]
+        if len(words_) > 2 * licenses.SHORT:
+            cases.append(" ".join([*words_[:8], "oddly", *words_[8:]]))
+            cases.append(" ".join([*words_[:-4]]))
+        for case, own in zip(cases, licenses.Scanner().measure(pa.array(cases))["spans"], strict=True):
+            assert {s["label"] for s in own} == {label}, case
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"cc-by-sa"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", {"cc-by-nc"}),
+    ("licensed under a Creative Commons Attribution 3.0 Unported License, code under the BSD or GNU Lesser General Public License",
+     {"cc-by", "lgpl"}),
+    ("CC BY-NC-ND 4.0", {"cc-by-nc-nd"}),
+    ("the GNU Affero General Public License version 3", {"agpl"}),
+    ("licensed under a creative writing course of the general public", set()),
+])
+def test_notices_as_they_are_written(text, labels):
+    assert {s["label"] for s in licenses.Scanner().measure(pa.array([text]))["spans"][0]} == labels
+
+
+def test_very_many_notices_in_one_text():
+    text = "code licensed under the mit license and texts licensed under a creative commons attribution sharealike license so " * 20000
+    start = time.time()
+    spans = licenses.Scanner().measure(pa.array([text]))["spans"][0]
+    assert len(spans) == 40000 and {s["label"] for s in spans} == {"mit", "cc-by-sa"}
+    assert time.time() - start < 60
+
+
+def longest_runs(sequences, stream, least):
+    """(sequence, text start, place, words) of all common runs that go on to neither side."""
+    found = set()
+    for k, s in enumerate(sequences):
+        for i in range(len(stream)):
+            for j in range(len(s)):
+                if i and j and stream[i - 1] == s[j - 1]:
+                    continue
+                n = 0
+                while i + n < len(stream) and j + n < len(s) and stream[i + n] == s[j + n]:
+                    n += 1
+                if n >= least:
+                    found.add((k, i, j, n))
+    return found
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abc", min_size=3, max_size=9), min_size=1, max_size=4), st.text("abcd", max_size=25))
+def test_runs_against_all_common_runs(templates, text):
+    scanner = licenses.Scanner((), tuple((str(k), " ".join(t)) for k, t in enumerate(templates)))
+    _, runs = scanner.scan(scanner.numbers(np.array([], np.uint64)).tolist())
+    assert runs == {}
+    known = {w: i for i, w in enumerate(sorted({w for t in templates for w in t}))}
+    _, runs = scanner.scan([known.get(w, len(known)) for w in text])
+    got = {(k, *run) for k, own in runs.items() for run in own}
+    assert got == longest_runs(templates, text, licenses.MIN_RUN)
+
+
 def test_licence_query(spark):
     rows = REGISTRY["op1_suffix_automaton"][0](spark, SF).collect()
     text = dict(texts_of(spark, SF))
