@@ -37,7 +37,8 @@ PARTS = 256
 FULL = 3
 TABLE_BITS = 16
 EPOCHS, BATCH, RATE, DECAY, SEED = 4, 256, 0.5, 1e-4, 7
-BLOCK = 64
+#: Words of a block, and blocks whose words are labelled at a time.
+BLOCK, GROUP = 64, 2048
 MIN_SCORE = 0.3
 SCHEMA = "lang_pred string, score double"
 
@@ -77,21 +78,18 @@ def blocks_of(text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, n
     return np.repeat(np.arange(n_texts), count), start[text] + place // BLOCK, place % BLOCK
 
 
-def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_texts: int):
-    """Each word's label probabilities, and the expected number of each transition, by forward-backward.
-
-    ``emission`` is (words, labels); ``text`` is each word's text, in order. Before a text's first word
-    stands a word of any label.
-    """
-    n_words, n = emission.shape
-    of, block, place = blocks_of(text, n_texts)
-    k = len(of)
-    a = np.exp(transition)
-    e = np.ones((BLOCK, k, n))
-    e[place, block] = np.exp(emission - emission.max(axis=1, keepdims=True))
+def _laid(scores: np.ndarray, block: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The scores of words at (place, block), ones elsewhere, and where words are."""
+    e = np.ones((BLOCK, k, scores.shape[1]))
+    e[place, block] = scores
     real = np.zeros((BLOCK, k), bool)
     real[place, block] = True
+    return e, real
 
+
+def _transfers(e: np.ndarray, real: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """What each block makes of any scores that come in, up to a factor."""
+    k, n = e.shape[1:]
     transfer = np.broadcast_to(np.eye(n), (k, n, n)).copy()
     for s in range(BLOCK):
         on = np.flatnonzero(real[s])
@@ -99,6 +97,12 @@ def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_
             break
         step = (transfer[on] @ a) * e[s, on][:, None, :]
         transfer[on] = step / step.max(axis=(1, 2), keepdims=True)
+    return transfer
+
+
+def _borders(transfer: np.ndarray, of: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forward scores before each block and backward scores behind it."""
+    k, n = transfer.shape[:2]
     first = np.searchsorted(of, np.arange(n_texts + 1))
     count = np.diff(first)
     entry, leave = np.ones((k, n)), np.ones((k, n))
@@ -109,9 +113,12 @@ def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_
         at = first[1:][count > r] - 1 - r
         value = np.einsum("kij,kj->ki", transfer[at + 1], leave[at + 1])
         leave[at] = value / value.max(axis=1, keepdims=True)
+    return entry, leave
+
 
-    forward, backward = np.ones((BLOCK, k, n)), np.ones((BLOCK, k, n))
-    before = np.empty((BLOCK, k, n))
+def _within(e, real, a, entry, leave) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward, backward and incoming forward scores at every place of every block."""
+    forward, backward, before = np.ones(e.shape), np.ones(e.shape), np.empty(e.shape)
     current = entry
     for s in range(BLOCK):
         before[s] = current
@@ -123,6 +130,23 @@ def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_
         backward[s] = current
         step = (e[s] * current) @ a.T
         current = np.where(real[s][:, None], step / step.max(axis=1, keepdims=True), current)
+    return forward, backward, before
+
+
+def _scores(emission: np.ndarray) -> np.ndarray:
+    return np.exp(emission - emission.max(axis=1, keepdims=True))
+
+
+def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_texts: int):
+    """Each word's label probabilities, and the expected number of each transition, by forward-backward.
+
+    ``emission`` is (words, labels); ``text`` is each word's text, in order. Before a text's first word
+    stands a word of any label.
+    """
+    of, block, place = blocks_of(text, n_texts)
+    a = np.exp(transition)
+    e, real = _laid(_scores(emission), block, place, len(of))
+    forward, backward, before = _within(e, real, a, *_borders(_transfers(e, real, a), of, n_texts))
     p = forward[place, block] * backward[place, block]
     p /= p.sum(axis=1, keepdims=True)
     left = before[place, block]
@@ -132,6 +156,39 @@ def marginals(emission: np.ndarray, transition: np.ndarray, text: np.ndarray, n_
     return p, pairs
 
 
+def label_sums(
+    emission: np.ndarray, word: np.ndarray, transition: np.ndarray, text: np.ndarray, n_texts: int, group: int = GROUP
+) -> np.ndarray:
+    """Per text the sums of its words' label probabilities, as of ``marginals``, in memory for ``group`` blocks.
+
+    ``emission`` is that of different words, ``word`` the number of each word among them. One pass over the groups finds what
+    each block does, from which the scores at all borders follow; a second one fills the blocks in.
+    """
+    of, block, place = blocks_of(text, n_texts)
+    k, n, a, scores = len(of), emission.shape[1], np.exp(transition), _scores(emission)
+
+    def groups():
+        for start in range(0, k, group):
+            stop = min(k, start + group)
+            own = slice(*np.searchsorted(block, (start, stop)))
+            at = block[own] - start, place[own]
+            yield slice(start, stop), own, at, *_laid(scores[word[own]], *at, stop - start)
+
+    transfer = np.empty((k, n, n))
+    for blocks, _, _, e, real in groups():
+        transfer[blocks] = _transfers(e, real, a)
+    entry, leave = _borders(transfer, of, n_texts)
+    sums = np.zeros((n_texts, n))
+    for blocks, own, (at, within), e, real in groups():
+        forward, backward, _ = _within(e, real, a, entry[blocks], leave[blocks])
+        p = forward[within, at] * backward[within, at]
+        p /= p.sum(axis=1, keepdims=True)
+        low, high = int(text[own][0]), int(text[own][-1]) + 1
+        for label in range(n):
+            sums[low:high, label] += np.bincount(text[own] - low, weights=p[:, label], minlength=high - low)
+    return sums
+
+
 @dataclass
 class Field:
     labels: list[str]
@@ -157,10 +214,8 @@ class Field:
             if self.labels and len(found):
                 _, some, again = np.unique(W.span_hashes(data, found), return_index=True, return_inverse=True)
                 picked = W.Spans(found.start[some], found.end[some], found.text[some])
-                emission = self.emissions(*word_features(data, picked))[again]
-                p, _ = marginals(emission, self.transition, found.text, n)
-                for k in range(len(self.labels)):
-                    sums[:, k] = np.bincount(found.text, weights=p[:, k], minlength=n)
+                emission = self.emissions(*word_features(data, picked))
+                sums = label_sums(emission, again, self.transition, found.text, n)
             total, best = sums.sum(axis=1), sums.argmax(axis=1)
             known = lettered & (total > 0)
             share = sums[np.arange(n), best] / np.where(known, total, 1)

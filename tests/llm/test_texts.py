@@ -5,6 +5,7 @@ import hashlib
 import html.parser
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -212,6 +213,32 @@ def test_lines_are_judged_first():
 # --- language
 
 
+@pytest.mark.parametrize("group", [1, 2, 3, 100])
+def test_sums_in_groups_of_blocks_are_those_of_all_words(group):
+    draw = np.random.default_rng(group)
+    text = np.repeat([0, 2, 3, 4, 7], [1, 700, 64, 65, 3])
+    emission, word = draw.normal(size=(40, 4)) * 3, draw.integers(0, 40, len(text))
+    transition = draw.normal(size=(4, 4))
+    p, _ = language.marginals(emission[word], transition, text, 9)
+    want = np.stack([np.bincount(text, weights=p[:, k], minlength=9) for k in range(4)], axis=1)
+    got = language.label_sums(emission, word, transition, text, 9, group)
+    assert np.allclose(got, want) and np.allclose(got.sum(axis=1), np.bincount(text, minlength=9))
+
+
+def test_a_very_long_text_is_labelled_in_bounded_memory():
+    draw = np.random.default_rng(1)
+    field = language.Field(list("abcdef"), draw.normal(size=(1 << language.TABLE_BITS, 6)), draw.normal(size=(6, 6)))
+    some = ["".join(draw.choice(list("abcdefghij"), 5)) for _ in range(2000)]
+    text = pa.array([" ".join(some[i] for i in draw.integers(0, 2000, 500_000))])
+    tracemalloc.start()
+    try:
+        found = field.measure(text)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found["lang_pred"]) == 1 and peak < 150e6
+
+
 def test_forward_backward_against_steps():
     draw = np.random.default_rng(3)
     emission, text = draw.normal(size=(260, 3)), np.repeat([0, 2, 3], [1, 195, 64])
