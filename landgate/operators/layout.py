@@ -99,10 +99,13 @@ def interleaved(
     task; without them the keys themselves serve. The input is read for the string ends, the sketches, the
     sample of the ranges and the rows.
     """
-    rows = df.withColumn("_place", curve_key(df, by, bits))
-    keys = ["_place", *by, *[c for c in spread if c not in by]]
+    taken, place = {c.lower() for c in df.columns}, "_place"
+    while place in taken:
+        place += "_"
+    rows = df.withColumn(place, curve_key(df, by, bits))
+    keys = [place, *by, *[c for c in spread if c not in by]]
     count = () if partitions is None else (partitions,)
-    return rows.repartitionByRange(*count, *keys).sortWithinPartitions(*keys).drop("_place")
+    return rows.repartitionByRange(*count, *keys).sortWithinPartitions(*keys).drop(place)
 
 
 def files_touched(written: DataFrame, by: Sequence[str], probes: int = 32) -> DataFrame:

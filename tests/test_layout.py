@@ -61,6 +61,8 @@ def test_crowds_nulls_and_empty_tables(spark):
     assert sum(sizes) == 4000 and max(sizes) < 1500
     empty = same.limit(0)
     assert interleaved(empty, ["a", "b"], ["n"], partitions=4).count() == 0
+    clash = spark.range(9).select("id", F.col("id").alias("_place"), F.lit("x").alias("_Place_"))
+    assert sorted(interleaved(clash, ["id"], partitions=2).collect()) == sorted(clash.collect())
     mixed = spark.createDataFrame([("é", 1), (None, 2), ("", 3), ("z" * 50, 4), ("z" * 50, 4)], "a string, n int")
     assert sorted(map(str, interleaved(mixed, ["a"], partitions=2).collect())) == sorted(map(str, mixed.collect()))
 
