@@ -107,8 +107,10 @@ def as_of_pairs(
     copied = held.join(crowded, list(_KEY), "left").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
+    # Both sides are exploded, which the planner's sizes do not see: left alone it would send the lookups whole
+    # through the driver to every executor.
     return (
         copied.select(*_KEY, "_part", "_asked")
-        .join(dealt.select(*_KEY, "_part", "_row"), [*_KEY, "_part"])
+        .join(dealt.select(*_KEY, "_part", "_row").hint("merge"), [*_KEY, "_part"])
         .select("_asked.*", "_row.*")
     )

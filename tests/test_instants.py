@@ -77,6 +77,17 @@ def test_the_plan_compares_no_dates_in_a_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_neither_exploded_side_is_sent_through_the_driver(spark, folder):
+    # Read from files, whose small sizes the planner knows.
+    versions = pairs(spark, [("a", day(0), OPEN)], [("a", day(1))]).select("k", "identifier", "effective_start_date", "effective_end_date")
+    versions.write.parquet(f"{folder}/versions")
+    versions.select("k", "identifier", F.col("effective_start_date").alias("date")).write.parquet(f"{folder}/asked")
+    rows = as_of_pairs(spark.read.parquet(f"{folder}/versions"), spark.read.parquet(f"{folder}/asked"))
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join [" in line and "_part#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_a_crowded_block_is_dealt_to_many_keys(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
