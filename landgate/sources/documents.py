@@ -31,6 +31,10 @@ MAX_SENT_SPLITS = 1 << 20
 MAX_SEGMENT = 64 << 20
 #: Files with a fault that are named in a filter; more are found by a join.
 MAX_NAMED_FILES = 1000
+#: Cut texts that a task holds before it hands them on: their characters, and their number.
+CUT_CHARACTERS, CUT_ROWS = 4 << 20, 10_000
+#: Bytes of documents that a task cuts at once, but for a longer one.
+DOCUMENT_BYTES = 8 << 20
 
 _ESCAPE = re.compile(r"\\.", re.S)
 _MARK = re.compile(r'\\.|["}]', re.S)
@@ -516,12 +520,27 @@ def _cut_again(pieces: DataFrame, starts: DataFrame, cut: DataFrame, faults: Dat
 
 
 def cut_column(df: DataFrame, column: str) -> DataFrame:
-    """The same for documents held in a text column; a NULL text is no record, ``null``."""
+    """The same for documents held in a text column; a NULL text is no record, ``null``.
+
+    A worker holds the batch of documents that Spark hands it, and of what it cuts one document and one batch.
+    """
+    return df.select(column).mapInArrow(_cut_batches, "value string, is_record boolean")
 
-    def run(batches):
-        for batch in batches:
-            texts = [t for text in batch.column(0).to_pylist() for t in ([(False, "null")] if text is None else cut_text(text))]
-            columns = [pa.array([t for _, t in texts], pa.string()), pa.array([r for r, _ in texts], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["value", "is_record"])
 
-    return df.select(column).mapInArrow(run, "value string, is_record boolean")
+def _cut_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(rows):
+        columns = [pa.array([t for _, t in rows], pa.string()), pa.array([r for r, _ in rows], pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, names=["value", "is_record"])
+
+    rows, size = [], 0
+    for batch in batches:
+        for document in batch.column(0):
+            text = document.as_py()
+            for found in [(False, "null")] if text is None else cut_text(text):
+                rows.append(found)
+                size += len(found[1])
+                if size >= CUT_CHARACTERS or len(rows) >= CUT_ROWS:
+                    yield batch_of(rows)
+                    rows, size = [], 0
+    if rows:
+        yield batch_of(rows)

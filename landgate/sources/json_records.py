@@ -7,13 +7,15 @@ value of the wrong type or broken syntax rejects the record.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.schemas import CORRUPT
 from landgate.sources.blocks import stored
-from landgate.sources.documents import cut_column, cut_documents
+from landgate.sources.documents import DOCUMENT_BYTES, cut_column, cut_documents
 from landgate.workspace import workspace
 
 
@@ -103,4 +105,18 @@ def parse_documents(
 
     NULL text is a rejected record ``null``.
     """
-    return _read_cut(stored(cut_column(df, column)), schema, corrupt)
+    with _document_batches(df.sparkSession):
+        cut = stored(cut_column(df, column))
+    return _read_cut(cut, schema, corrupt)
+
+
+@contextmanager
+def _document_batches(spark: SparkSession):
+    """Hand Python workers batches bounded by their bytes, as documents may be of any length."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(DOCUMENT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -4,12 +4,13 @@ import os
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgate.schemas import BILLING, CORRUPT, TRADE
-from landgate.sources import documents
+from landgate.sources import documents, json_records
 from landgate.sources.json_records import parse_documents, parse_records, read_json
 from landgate.sources.landing import land, list_landing
 from landgate.sources.text_lines import read_lines
@@ -344,3 +345,32 @@ def test_landing_round_trip(spark, folder):
     land(df.coalesce(2), path, "text")
     assert spark.read.text(path).count() == 10
     assert list_landing(spark, path).count() == 2
+
+
+class _Taken:
+    """Stands for a DataFrame and gives the function that its workers would run."""
+
+    def select(self, column):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_cut_documents_leave_a_worker_in_bounded_batches():
+    texts = ["[" + ",".join(f'{{"a":"{"x" * 1000}{i}"}}' for i in range(1000)) + "]", None] * 8
+    batch = pa.RecordBatch.from_pydict({"doc": texts})
+    out = list(documents.cut_column(_Taken(), "doc")([batch]))
+    assert sum(b.num_rows for b in out) == 8 * 1001
+    assert max(b.nbytes for b in out) < 5 << 20
+    assert [r["value"] for b in out for r in b.to_pylist()][1000] == "null"
+
+
+def test_documents_are_handed_to_workers_in_bounded_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+    stored = json_records.stored
+    monkeypatch.setattr(json_records, "stored", lambda df: (seen.append(int(spark.conf.get(key))), stored(df))[1])
+    df = spark.createDataFrame([('[{"record_id":"T1"}]',)], "doc string")
+    assert parse_documents(df, "doc", TRADE).count() == 1
+    assert seen == [8 << 20] and spark.conf.get(key) == before
