@@ -19,7 +19,9 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +39,15 @@ CUT_CHARACTERS, CUT_ROWS = 4 << 20, 10_000
 DOCUMENT_BYTES = 8 << 20
 
 _ESCAPE = re.compile(r"\\.", re.S)
+# A "{" is never escaped, since text is cut into pieces there.
+_ESCAPE_IN_PIECE = re.compile(r"\\[^{]", re.S)
+_INDENT = re.compile(r"\n([ \t\r]*)\{")
 _MARK = re.compile(r'\\.|["}]', re.S)
 _STRUCTURE = re.compile(r"[\s,\[\]]*")
 # Texts between records: quoted ones whole, others up to a comma, bracket or quote.
 _OTHER = re.compile(r'"(?:[^"\\]|\\.)*"?|[^\s,\[\]"](?:[^,\[\]"]*[^\s,\[\]"])?', re.S)
 
+_DECODER = json.JSONDecoder()
 _BLANK = " \t\r\n"
 _FIRST_KEY = re.compile(r'\s*("(?:[^"\\]|\\.)*")\s*:', re.S)
 
@@ -74,21 +80,42 @@ class Beginnings:
         self.indent, self.key, self.before = indent, key, tail
         self.by_line, self.by_key = NESTED_LINES not in nested, NESTED_KEYS not in nested
         self.nested = set(nested)
+        lines = [re.compile(rf"\n[ \t\r]{{{indent}}}\{{")] if indent >= 0 else []
+        self.searches = lines + ([re.compile(r"\{\s*" + re.escape(key) + r"\s*:")] if key is not None else [])
 
     def piece(self, text: str, opened: bool, first: bool) -> bool:
         """Whether a record begins at the "{" before ``text``."""
-        begins = False
-        if opened:
-            indent, sign = self.before
-            line = indent >= 0 and indent == self.indent
-            key = self.key is not None and sign in ("^", "[", ",", "}", ":[") and _first_key(text) == self.key
-            if sign in (":", ":["):
-                self.nested |= ({NESTED_LINES} if line else set()) | ({NESTED_KEYS} if key else set())
-            else:
-                begins = (line and self.by_line) or (key and self.by_key)
+        begins = opened and self._at(self.before, text)
         self.before = _tail(text, first)
         return begins
 
+    def _at(self, before: tuple[int, str], text: str) -> bool:
+        indent, sign = before
+        line = indent >= 0 and indent == self.indent
+        key = self.key is not None and sign in ("^", "[", ",", "}", ":[") and _first_key(text) == self.key
+        if sign in (":", ":["):
+            self.nested |= ({NESTED_LINES} if line else set()) | ({NESTED_KEYS} if key else set())
+            return False
+        return (line and self.by_line) or (key and self.by_key)
+
+    def pieces(self, pieces: list[str], opened: bool, first: bool) -> list[int]:
+        """The pieces before which a record begins, of several that follow each other. Looks only where the indentation
+        or the key is found by one search, at what may stand at the file's start, and at what goes on from before."""
+        joined = "{" + "{".join(pieces) if opened else "{".join(pieces)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+        opens = np.cumsum(lengths) - lengths if opened else np.cumsum(lengths[:-1]) - 1
+        places = {int(opens[0])} if len(opens) else set()
+        for found in self.searches:
+            places.update(m.end() - 1 if m[0][0] == "\n" else m.start() for m in found.finditer(joined))
+        numbers = np.searchsorted(opens, sorted(places)) + (0 if opened else 1)
+        begins = []
+        for i in numbers.tolist():
+            before = _tail(pieces[i - 1], first and i == 1) if i else self.before
+            if self._at(before, pieces[i]):
+                begins.append(i)
+        self.before = _tail(pieces[-1], first and len(pieces) == 1)
+        return begins
+
 
 def _closings(text: str) -> tuple[int, int, int]:
     """(closing braces outside strings, inside, quotes modulo 2) of a piece that starts outside."""
@@ -139,6 +166,39 @@ class Cutter:
                     self.parts, self.continued = [], False
         self.parts.append(text[at:])
 
+    def pieces(self, pieces: list[str], opened: bool) -> tuple[list[tuple[int, str]], np.ndarray]:
+        """The same for several pieces that follow each other, and for each "{" before one whether it lies in a record
+        or a string."""
+        text = "{" + "{".join(pieces) if opened else "{".join(pieces)
+        signs = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        marked = (signs == ord('"')) | (signs == ord("{")) | (signs == ord("}"))
+        if "\\" in text:
+            marked[[m.end() - 1 for m in _ESCAPE_IN_PIECE.finditer(text)]] = False
+        places = np.flatnonzero(marked)
+        signs = signs[places]
+        if not len(signs):
+            self.parts.append(text)
+            return [], np.zeros(0, bool)
+        inside = (np.cumsum(signs == ord('"')) & 1) ^ self.inside
+        opens, closes = signs == ord("{"), signs == ord("}")
+        path = self.depth + np.cumsum(np.where(inside == 0, opens.astype(np.int64) - closes, 0))
+        depth = path - np.minimum(np.minimum.accumulate(path), 0)
+        before = np.concatenate([[self.depth], depth[:-1]])
+        ends = (before > 0) & (depth == 0)
+        events = np.flatnonzero(ends | (opens & (before == 0) & (depth > 0)))
+        at, out = 0, []
+        for place, ended in zip(places[events].tolist(), ends[events].tolist(), strict=True):
+            self.parts.append(text[at : place + ended])
+            at = place + ended
+            if ended:
+                out.append((FRAGMENT if self.continued else RECORD, "".join(self.parts)))
+                self.parts, self.continued = [], False
+            else:
+                out += self._others()
+        self.parts.append(text[at:])
+        self.inside, self.depth = int(inside[-1]), int(depth[-1])
+        return out, ((before > 0) | (inside > 0))[opens]
+
     def _others(self) -> Iterator[tuple[int, str]]:
         text = "".join(self.parts)
         self.parts = []
@@ -189,6 +249,19 @@ class Segments:
             self.parts = []
         self.parts += ["{", text] if opened else [text]
 
+    def pieces(self, pieces: list[str], opened: bool, first: bool) -> Iterator[str]:
+        """The same for several pieces that follow each other."""
+        at = 0
+        for i in self.marks.pieces(pieces, opened, first):
+            if i > at:
+                self._add(pieces[at:i], at > 0 or opened)
+            yield "".join(self.parts)
+            self.parts, at = [], i
+        self._add(pieces[at:], at > 0 or opened)
+
+    def _add(self, pieces: list[str], opened: bool) -> None:
+        self.parts.append("{" + "{".join(pieces) if opened else "{".join(pieces))
+
     def end(self) -> str:
         return "".join(self.parts)
 
@@ -196,6 +269,14 @@ class Segments:
 def cut_segment(text: str) -> Iterator[tuple[int, str]]:
     """The texts between two beginnings. If more than records lies there, what follows the last record that can
     be read is one text."""
+    if text.startswith("{"):
+        try:
+            end = _DECODER.raw_decode(text)[1]
+        except (ValueError, RecursionError):
+            end = 0
+        if end and _STRUCTURE.fullmatch(text, end):  # one record that can be read, as most are
+            yield RECORD, text[:end]
+            return
     cutter, found = Cutter(), []
     for i, piece in enumerate(text.split("{")):
         found += cutter.piece(piece, i > 0)
@@ -238,37 +319,62 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _by_split(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, str]]:
-    """(split, whether a "{" stands before it, piece), in the order of the scan."""
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, bool, list[str], tuple]]:
+    """(split, whether a "{" stands before them, pieces, further columns) of what a batch holds of a split, in the order
+    of the scan."""
     last = None
     for batch in batches:
-        for file, block, value in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
-            split = (file, block)
-            yield split, split == last or block > 0, value
+        files, blocks, values = batch.columns[:3]
+        if not len(values):
+            continue
+        block = blocks.to_numpy()
+        border = block[1:] != block[:-1]
+        border |= pc.not_equal(files.slice(1), files.slice(0, len(files) - 1)).to_numpy(zero_copy_only=False)
+        cuts = [0, *(int(i) + 1 for i in np.flatnonzero(border)), len(values)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            split = (files[start].as_py(), blocks[start].as_py())
+            own = tuple(c[start].as_py() for c in batch.columns[3:])
+            # Joined and taken apart again, which is quicker than to ask for every value; no piece holds a "{".
+            held = pa.ListArray.from_arrays(pa.array([0, end - start], pa.int32()), values.slice(start, end - start))
+            pieces = pc.binary_join(held, pa.scalar("{", values.type))[0].as_py().split("{")
+            yield split, split == last or split[1] > 0, pieces, own
             last = split
 
 
+def _depths(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of all quotes and braces of a text that starts outside: quotes up to there modulo 2, and the step in depth."""
+    if "\\" in text:
+        text = _ESCAPE_IN_PIECE.sub("", text)
+    signs = np.frombuffer(text.encode(), np.uint8)
+    signs = signs[(signs == ord('"')) | (signs == ord("{")) | (signs == ord("}"))]
+    return np.cumsum(signs == ord('"')) & 1, (signs == ord("{")).astype(np.int64) - (signs == ord("}"))
+
+
 def _summaries(batches):
     """Per split and for both states of quotes it may start in: quotes at the end, and ``add``,
     ``least``, ``lowest``: a depth d becomes max(d + add, least), and falls to nothing on the way if
     d + lowest <= 0."""
-    rows, marks, split = {}, {}, None
-    for split, opened, text in _by_split(batches):
+    rows, marks = {}, {}
+    for split, opened, pieces, _ in _runs(batches):
         states = rows.setdefault(split, [[0, 0, 0, 0], [1, 0, 0, 0]])
         mark = marks.setdefault(split, [-1, None, -1, "^"])
-        if opened and mark[1] is None:
-            mark[1] = _first_key(text)
-        if mark[2] >= 0 and (mark[0] < 0 or mark[2] < mark[0]):
-            mark[0] = mark[2]
-        mark[2:] = _tail(text, not opened)
-        outside, within, odd = _closings(text)
+        joined = "{".join(pieces)
+        if mark[1] is None:
+            mark[1] = next(filter(None, map(_first_key, pieces if opened else pieces[1:])), None)
+        found = [mark[2], *map(len, _INDENT.findall(joined))]
+        if len(pieces) > 1:
+            found.append(_tail(pieces[0], not opened)[0])
+        mark[0] = min((n for n in (mark[0], *found) if n >= 0), default=-1)
+        mark[2:] = _tail(pieces[-1], not opened and len(pieces) == 1)
+        odd, steps = _depths("{" + joined if opened else joined)
+        if not len(odd):
+            continue
         for state in states:
-            closing = within if state[0] else outside
-            step = (1 if opened and not state[0] else 0) - closing
-            state[1] += step
-            state[2] = max(state[2] + step, 0)
-            state[3] = min(state[3], state[1])
-            state[0] ^= odd
+            path = state[1] + np.cumsum(np.where(odd == state[0], steps, 0))
+            state[0] ^= int(odd[-1])
+            state[1] = int(path[-1])
+            state[3] = min(state[3], int(path.min()))
+            state[2] = state[1] - state[3]  # what a depth held at 0 comes to: the rise from the lowest point
     flat = [(*split, *even, *odd, *marks[split]) for split, (even, odd) in rows.items()]
     yield pa.RecordBatch.from_pylist([dict(zip(_SUMMARY_NAMES, r, strict=True)) for r in flat], schema=_SUMMARY_ARROW)
 
@@ -342,22 +448,22 @@ def _cutting(starts: dict | None):
             if cutter.brackets:
                 row(BRACKETS, None, None, cutter.brackets)
 
-        for split, opened, text, own in _with_states(batches, starts):
+        for split, opened, pieces, own in _with_states(batches, starts):
             if split != last:
                 if last is not None:
                     finish()
                 last, state = split, own
                 cutter, told = Cutter(own[0], own[1]), set()
                 marks = Beginnings(own[6], own[7], (own[4], own[5]))
-            if marks.piece(text, opened, split[1] == 0 and not opened) and (cutter.depth or cutter.inside):
+            begins = marks.pieces(pieces, opened, split[1] == 0 and not opened)
+            found, held = cutter.pieces(pieces, opened)
+            if any(held[i if opened else i - 1] for i in begins):
                 marks.nested.add(FAULT)
             for kind in marks.nested - told:
                 row(kind, None, None)
             told |= marks.nested
-            continued = cutter.continued
-            for kind, found in cutter.piece(text, opened):
-                row(kind, found, state[2] if kind == FRAGMENT and continued else None)
-                continued = False
+            for kind, text in found:
+                row(kind, text, state[2] if kind == FRAGMENT else None)
             if len(rows) >= 10_000:
                 yield _batch(rows)
                 rows.clear()
@@ -369,20 +475,14 @@ def _cutting(starts: dict | None):
 
 
 def _with_states(batches, starts, others=False):
-    if starts is not None:
-        for split, opened, text in _by_split(batches):
-            if split not in starts and others:
+    for split, opened, pieces, own in _runs(batches):
+        if starts is not None:
+            own = starts.get(split)
+            if own is None and others:
                 continue
-            if split not in starts:
+            if own is None:
                 raise RuntimeError(f"the splits of {split[0]} have changed while it was read")
-            yield split, opened, text, starts[split]
-        return
-    last = None
-    for batch in batches:
-        for file, block, text, *own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            split = (file, block)
-            yield split, split == last or block > 0, text, tuple(own)
-            last = split
+        yield split, opened, pieces, own
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -450,14 +550,14 @@ def _segmenting(starts: dict | None):
         def finish():
             rows.append((*last, place, True, None, segments.end()))
 
-        for split, opened, text, own in _with_states(batches, starts, others=True):
+        for split, opened, pieces, own in _with_states(batches, starts, others=True):
             if split != last:
                 if last is not None:
                     finish()
                 last, place = split, 0
                 nested = [k for k, held in ((NESTED_LINES, own[4]), (NESTED_KEYS, own[5])) if held]
                 segments = Segments(Beginnings(own[2], own[3], (own[0], own[1]), tuple(nested)))
-            for part in segments.piece(text, opened, split[1] == 0 and not opened):
+            for part in segments.pieces(pieces, opened, split[1] == 0 and not opened):
                 if place:
                     rows += [(*last, place, False, kind, found) for kind, found in cut_segment(part)]
                 else:

@@ -374,3 +374,39 @@ def test_documents_are_handed_to_workers_in_bounded_batches(spark, monkeypatch):
     df = spark.createDataFrame([('[{"record_id":"T1"}]',)], "doc string")
     assert parse_documents(df, "doc", TRADE).count() == 1
     assert seen == [8 << 20] and spark.conf.get(key) == before
+
+
+def test_pieces_taken_together_are_cut_as_one_by_one():
+    dice = random.Random(11)
+    signs = ["{", "}", '"', "\\", '\\"', "\n", "  ", ":", "[", ",", '"a":', "é", '{"cost":', '},\n  {"cost":"x{y}"', "}}"]
+    for _ in range(1500):
+        pieces = "".join(dice.choice(signs) for _ in range(dice.randrange(60))).split("{")
+        opened, state = dice.random() < 0.5, (dice.randrange(2), dice.randrange(3))
+        alone, together = documents.Cutter(*state), documents.Cutter(*state)
+        marks = [documents.Beginnings(2, '"cost"', (2, ","), ()) for _ in range(2)]
+        found, begins, held = [], [], []
+        for i, piece in enumerate(pieces):
+            if marks[0].piece(piece, opened or i > 0, not opened and i == 0):
+                begins.append(i)
+            if opened or i:
+                held.append(alone.depth > 0 or bool(alone.inside))
+            found += alone.piece(piece, opened or i > 0)
+        got, inside = together.pieces(pieces, opened)
+        assert (got, inside.tolist()) == (found, held)
+        assert marks[1].pieces(pieces, opened, not opened) == begins
+        assert marks[1].nested == marks[0].nested and marks[1].before == marks[0].before
+        assert list(together.end()) == list(alone.end()) and together.brackets == alone.brackets
+
+
+def test_documents_are_landed_by_all_tasks(spark):
+    from workloads.gate_queries import _land_documents
+
+    before = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        files = list_landing(spark, _land_documents(spark, "/root/testdata/sf0.01")).count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert files > 12

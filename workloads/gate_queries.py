@@ -155,7 +155,7 @@ def gate_multiline(spark, sf):
 
 def _land_documents(spark, sf):
     """Document files with number-typed costs, nested text and all kinds of faults; returns their path."""
-    texts = document_files(spark, sf).select("doc").repartition(8)
+    texts = document_files(spark, sf).select("doc")
     path = workspace(spark, "documents")
     land(texts, path, "text")
     return path
@@ -168,7 +168,7 @@ def documents_read(spark, sf):
 
 def documents_unclosed(spark, sf):
     path = workspace(spark, "unclosed")
-    land(unclosed_files(spark, sf).repartition(8), path, "text")
+    land(unclosed_files(spark, sf), path, "text")
     df = read_json(spark, path, BILLING)
     # Behind a record that nothing closes stands the end of its array.
     text = F.regexp_replace(CORRUPT, r"[\s,\[\]]+$", "")
