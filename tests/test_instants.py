@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from landgate.operators import instants
 from landgate.operators.instants import as_of_pairs
 
 OPEN = datetime.date(9999, 12, 31)
@@ -98,3 +99,47 @@ def test_a_crowded_block_is_dealt_to_many_keys(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 800 and max(sizes) < 400
+
+
+def test_blocks_and_whole_instruments_give_the_same_pairs(spark, monkeypatch):
+    dice = random.Random(5)
+    versions, asked = [], []
+    for _ in range(600):
+        start = dice.randrange(-20, 200)
+        end = OPEN if dice.random() < 0.3 else day(start + dice.choice([-1, 0, 1, 30, 64]))
+        versions.append((dice.choice(["hot", "warm", None, f"i{dice.randrange(60)}"]), day(start), end))
+    versions += [("hot", day(3), day(4))] * 40
+    for _ in range(250):
+        asked.append((dice.choice(["hot", "warm", None, f"i{dice.randrange(70)}"]), day(dice.randrange(0, 180))))
+    want = brute(versions, asked)
+    assert len(want) > 500
+    for few, listed, spread in ((3, 50_000, 100_000), (3, 50_000, 8), (3, 2, 100_000), (3, 2, 8), (8, 0, 8)):
+        monkeypatch.setattr(instants, "FEW_ROWS", few)
+        monkeypatch.setattr(instants, "LISTED", listed)
+        monkeypatch.setattr(instants, "MAX_IN_LIST", min(listed, 1000))
+        assert got(pairs(spark, versions, asked, spread_rows=spread)) == want
+
+
+def shuffled(rows):
+    """Rows written to the shuffles of ``rows``, which were read."""
+
+    def written(node):
+        below = sum(written(node.children().apply(i)) for i in range(node.children().size()))
+        metric = node.metrics().get("shuffleRecordsWritten")
+        return below + (metric.get().value() if "ShuffleExchange" in node.getClass().getName() else 0)
+
+    return written(rows._jdf.queryExecution().executedPlan())
+
+
+def test_rows_of_instruments_with_few_versions_are_shuffled_once(spark):
+    versions = [(f"i{n}", day(k * 100), OPEN if k == 9 else day(k * 100 + 98)) for n in range(30) for k in range(10)]
+    asked = [(f"i{n % 30}", day(n)) for n in range(1, 900)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = pairs(spark, versions, asked).select("asked_n", "asked_date", "k")
+        assert got(rows) == brute(versions, asked)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert shuffled(rows) <= len(versions) + len(asked)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "xxhash64" not in plan  # of all columns, only to deal crowded blocks
